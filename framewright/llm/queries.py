@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import quota_sample, rank_fusion, top_n
+from framewright.llm import neighbours, quota_sample, rank_fusion, top_n, varied_subset
 from framewright.storage import read_table
 
+DIMS = 64
 SCORES = ["sharpness", "face_sharpness", "exposure_score", "total_score"]
 
 
@@ -34,6 +35,26 @@ def p2_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quota_sample.draw_sample(*_quota(spark, sf_dir))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people, _ = varied_subset.lookalike_groups(read_table(spark, sf_dir, "image_metrics"), "image_id", "feature_vector", DIMS, 0.05)
+    return varied_subset.large_groups(people, 10).withColumnRenamed("id", "image_id")
+
+
+def p3_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return varied_subset.varied_subset(read_table(spark, sf_dir, "image_metrics"), "image_id", "feature_vector", "composition", "head_pose", 200, DIMS)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = neighbours.most_similar(read_table(spark, sf_dir, "image_metrics"), "image_id", "feature_vector", DIMS, 10, probes=4, least=0.98)
+    return near.select(F.least("id", "other_id").alias("image_id_a"), F.greatest("id", "other_id").alias("image_id_b")).distinct()
+
+
+def p4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches for every picture whose id is divisible by 20, against all pictures."""
+    near = neighbours.most_similar(read_table(spark, sf_dir, "image_metrics"), "image_id", "feature_vector", DIMS, 10, query=F.col("id") % 20 == 0)
+    return near.select(F.col("id").alias("image_id"), F.col("other_id").alias("neighbour_id"), "similarity", "rank")
+
+
 def _top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pictures = top_n.latest_scores(read_table(spark, sf_dir, "image_metrics"))
     return top_n.top_n_per_group(pictures, ["trigger_word", "year"], "total_score", "image_id", 3)
