@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import neighbours, quota_sample, rank_fusion, top_n, varied_subset
+from framewright.llm import leakage, neighbours, quota_sample, rank_fusion, tokens, top_n, varied_subset
 from framewright.storage import read_table
 
 DIMS = 64
+TOKENIZERS = os.environ.get("FRAMEWRIGHT_TOKENIZERS", "/opt/tokenizers")
 SCORES = ["sharpness", "face_sharpness", "exposure_score", "total_score"]
 
 
@@ -68,5 +70,17 @@ def p5_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top3(spark, sf_dir)
 
 
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode_texts(read_table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leak_report(p8_found(spark, sf_dir), read_table(spark, sf_dir, "eval_items"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}

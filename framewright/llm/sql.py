@@ -45,9 +45,22 @@ ranked as (
   from latest where total_score is not null and not isnan(total_score))
 """
 
+_LEAKS = r"""
+with words as (
+  select 0 as kind, doc_id as id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null
+  union all
+  select 1, item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') from eval_items where text is not null),
+runs as (
+  select distinct kind, id, array_to_string(w[i:i + 12], ' ') as run
+  from (select kind, id, w, unnest(range(1, len(w) - 11)) as i from words where len(w) >= 13)),
+leaks as (select distinct d.id as doc_id, e.id as item_id from runs d join runs e on d.run = e.run and d.kind = 0 and e.kind = 1)
+"""
+
 SQL = {
     "p1_fused_ranking": _p1(),
     "p2_found": _CELLS + "select target_id from have, size where available < greatest(min_rows, cast(ceil(target_permille * s / 1000.0) as bigint))",
     "p5_found": _TOP3 + 'select image_id from ranked where "rank" <= 3',
     "p5_top3": _TOP3 + 'select trigger_word, year, image_id, total_score, "rank" from ranked where "rank" <= 3',
+    "p8_found": _LEAKS + "select doc_id, item_id from leaks",
+    "p8_report": _LEAKS + "select e.item_id, count(l.doc_id) as documents from (select distinct item_id from eval_items) e left join leaks l on l.item_id = e.item_id group by 1",
 }

@@ -61,7 +61,7 @@ def links_in_block(least: float):
     return work
 
 
-def lookalike_groups(table: DataFrame, item_id: str, vector: str, dims: int, distance: float, probes: int = 4) -> tuple[DataFrame, DataFrame]:
+def lookalike_groups(table: DataFrame, item_id: str, vector: str, dims: int, distance: float, probes: int = 6) -> tuple[DataFrame, DataFrame]:
     """Groups of items linked, directly or through others, by a cosine distance below ``distance``.
 
     Unusable vectors and null ids are left out, repeated rows count once,
