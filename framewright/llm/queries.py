@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import leakage, neighbours, quota_sample, rank_fusion, tokens, top_n, varied_subset
+from framewright.llm import defects, leakage, neighbours, quota_sample, rank_fusion, tokens, top_n, varied_subset
 from framewright.storage import read_table
 
 DIMS = 64
@@ -70,6 +70,10 @@ def p5_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top3(spark, sf_dir)
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects.broken_pairs(read_table(spark, sf_dir, "caption_attempts"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_texts(read_table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
