@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import defects, leakage, neighbours, quota_sample, rank_fusion, tokens, top_n, varied_subset
+from framewright.llm import defects, leakage, neighbours, personal, quota_sample, rank_fusion, tokens, top_n, varied_subset
 from framewright.storage import read_table
 
 DIMS = 64
@@ -86,5 +86,13 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leak_report(p8_found(spark, sf_dir), read_table(spark, sf_dir, "eval_items"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "known_names"))
+
+
+def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.redact_personal(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "known_names"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
