@@ -167,7 +167,7 @@ def described(raw: Column) -> Column:
         text = strip(sub(text, pattern, ""))
     text = F.split(text, r"(?iU)\n\s*tags?\s*:")[0]
     text = sub(text, r"^tags?\s*:.*$", "", "(?imU)")
-    lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: (x != "") & ~x.rlike(r"(?iU)^tags?\s*:"))
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: strip(x)), lambda x: (x != "") & ~x.rlike(r"(?iU)^tags?\s*:"))
     lines = F.transform(lines, lambda x: strip(sub(strip(sub(x, r"^[-*•\d.]+\s*", "")), RUBRIC, "")))
     text = strip(F.array_join(F.filter(lines, lambda x: x != ""), " "))
     return sub(sub(text, r"\*{1,2}([^*]+)\*{1,2}", "$1"), r"\s*;\s*", ", ")
