@@ -49,7 +49,7 @@ def curated(files: DataFrame, trigger: str, fall_back: bool = False) -> DataFram
 
 def captions(spark: SparkSession, folder: str, trigger: str) -> DataFrame:
     """``stem`` and ``text`` of the folder's captions: those of the trigger, or all if there are none."""
-    read = lambda glob: spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(folder).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1).alias("stem"), F.col("value").alias("text"))
+    read = lambda glob: spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1).alias("stem"), F.col("value").alias("text"))
     ours = read(f"{trigger}_*.txt")
     return ours if ours.limit(1).count() else read("*.txt")
 
