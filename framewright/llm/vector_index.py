@@ -29,6 +29,8 @@ NEIGHBOURS = 10
 #: Rows of one part that are stored together; larger parts are cut into a grid of such blocks.
 BLOCK_ROWS = 20_000
 LEVELS = 32767
+#: Numbers of a product of matrices that are held at once on the driver.
+CELLS = 4_000_000
 
 
 def usable_vectors(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,13 +106,20 @@ class Router:
 def neighbour_graph(rows: np.ndarray, k: int) -> np.ndarray:
     """The k nearest rows of every row, by exact comparison in blocks."""
     out = np.empty((len(rows), k), "i4")
-    for i in range(0, len(rows), 500):
-        sims = rows[i : i + 500] @ rows.T
+    step = max(32, CELLS // max(1, len(rows)))
+    for i in range(0, len(rows), step):
+        sims = rows[i : i + step] @ rows.T
         sims[np.arange(len(sims)), np.arange(i, i + len(sims))] = -2
-        out[i : i + 500] = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+        out[i : i + step] = np.argpartition(-sims, k - 1, axis=1)[:, :k]
     return out
 
 
+def best_column(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """The column with the largest product of every row, without the whole product in memory."""
+    step = max(32, CELLS // max(1, columns.shape[1]))
+    return np.concatenate([(rows[i : i + step] @ columns).argmax(axis=1) for i in range(0, len(rows), step)])
+
+
 def balanced_parts(rows: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 12, slack: float = 1.25) -> np.ndarray:
     """Cuts the graph into parts of at most ``slack`` times the mean size with few cut edges.
 
@@ -120,7 +129,7 @@ def balanced_parts(rows: np.ndarray, graph: np.ndarray, parts: int, rounds: int
     n, rng = len(rows), np.random.default_rng(5)
     centre = rows[rng.choice(n, parts, replace=False)].copy()
     for _ in range(8):
-        label = (rows @ centre.T).argmax(axis=1)
+        label = best_column(rows, centre.T)
         total = np.zeros_like(centre)
         np.add.at(total, label, rows)
         norm = np.linalg.norm(total, axis=1, keepdims=True)
@@ -190,7 +199,7 @@ def fit_parts(rows: np.ndarray, parts: int, epochs: int) -> Router:
                 m[j] = 0.9 * m[j] + 0.1 * g
                 v[j] = 0.99 * v[j] + 0.01 * g * g
                 w -= 0.05 * (m[j] / (1 - 0.9**step)) / (np.sqrt(v[j] / (1 - 0.99**step)) + 1e-8)
-    share = np.bincount((rows @ weights + bias).argmax(axis=1), minlength=parts) / n
+    share = np.bincount(best_column(np.hstack([rows, np.ones((n, 1), "f4")]), np.vstack([weights, bias])), minlength=parts) / n
     return Router(weights.astype("f4"), bias.astype("f4"), share)
 
 
@@ -234,7 +243,8 @@ def send_to_parts(nodes: DataFrame, router: Router, probes: int, dims: int, tota
     stored vectors are repeated along one side, queries along the other, so no
     task holds more than a block of either whatever the skew.
     """
-    shared = nodes.sparkSession.sparkContext.broadcast(router)  # at most MAX_PARTS * (dims + 2) numbers
+    spark = nodes.sparkSession
+    shared = spark.sparkContext.broadcast(router)  # at most MAX_PARTS * (dims + 2) numbers
     side = np.maximum(1, np.ceil(router.share * total / BLOCK_ROWS)).astype("i8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +273,10 @@ def send_to_parts(nodes: DataFrame, router: Router, probes: int, dims: int, tota
                 ["part", "block", "stored", "node", "q"],
             )
 
-    return nodes.select("node", "q", "asks").mapInArrow(run, "part int, block int, stored boolean, node long, q binary")
+    sent = nodes.select("node", "q", "asks").mapInArrow(run, "part int, block int, stored boolean, node long, q binary")
+    # about 200,000 rows a task at most, so that a task stays small whatever the session's setting
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total * (probes + 1) // 200_000))
+    return sent.repartition(int(tasks), "part", "block")
 
 
 def in_blocks(sent: DataFrame, dims: int, work: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
