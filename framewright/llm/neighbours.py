@@ -43,7 +43,7 @@ def best_in_block(k: int, least: float):
     return work
 
 
-def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int, query: Column | None = None, probes: int | None = None, least: float = -1.0) -> DataFrame:
+def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int, query: Column | None = None, probes: int | None = None, least: float = -1.0, margin: float = math.inf) -> DataFrame:
     """The ``k`` most similar other items (cosine) of every item that asks.
 
     Rows with unusable vectors (see ``packed_vectors``) or a null id neither
@@ -52,7 +52,8 @@ def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int,
     Exact copies of a vector are merged before the search and put back
     after it, each item linking to at most ``k`` others. ``query`` says which rows
     ask (all, if None), ``least`` leaves out less similar pairs, ``probes`` is
-    the number of parts asked (default 1.5 times the root of their number).
+    the number of parts asked (default 1.5 times the root of their number), of which those
+    further than ``margin`` from the most probable are spared.
     An empty table gives no rows.
 
     Returns ``id``, ``other_id``, ``similarity`` (single precision) and ``rank``.
@@ -64,7 +65,7 @@ def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int,
     total = nodes.count()
     router = vi.fit_router(nodes.select("q"), dims)
     probes = probes or math.ceil(1.5 * math.sqrt(router.parts))
-    sent = vi.send_to_parts(nodes, router, probes, dims, total)
+    sent = vi.send_to_parts(nodes, router, probes, dims, total, margin)
     near = vi.in_blocks(sent, dims, best_in_block(k, least), SCHEMA)
     order = Window.partitionBy("node").orderBy(F.col("similarity").desc(), "other")
     near = near.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= k).drop("__r")

@@ -47,7 +47,7 @@ def p3_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = neighbours.most_similar(read_table(spark, sf_dir, "image_metrics"), "image_id", "feature_vector", DIMS, 10, probes=4, least=0.98)
+    near = neighbours.most_similar(read_table(spark, sf_dir, "image_metrics"), "image_id", "feature_vector", DIMS, 10, probes=12, least=0.98, margin=1.5)
     return near.select(F.least("id", "other_id").alias("image_id_a"), F.greatest("id", "other_id").alias("image_id_b")).distinct()
 
 

@@ -61,20 +61,20 @@ def links_in_block(least: float):
     return work
 
 
-def lookalike_groups(table: DataFrame, item_id: str, vector: str, dims: int, distance: float, probes: int = 6) -> tuple[DataFrame, DataFrame]:
+def lookalike_groups(table: DataFrame, item_id: str, vector: str, dims: int, distance: float, probes: int = 16, margin: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """Groups of items linked, directly or through others, by a cosine distance below ``distance``.
 
     Unusable vectors and null ids are left out, repeated rows count once,
     copies are one vector from the start; an empty table gives no rows. A pair
-    is compared if either side routes to the other's part among its ``probes``
-    most probable ones. Returns (people, nodes): people with ``id``, ``node`` and
+    is compared if either side routes to the other's part: one of its ``probes``
+    most probable ones, within ``margin`` of the first. Returns (people, nodes): people with ``id``, ``node`` and
     ``label`` (its group), nodes with ``node``, ``q`` and ``label``.
     """
     packed = vi.packed_vectors(table, item_id, vector, dims)
     nodes = vi.distinct_vectors(packed, F.lit(1))
     total = nodes.count()
     router = vi.fit_router(nodes.select("q"), dims)
-    links = vi.in_blocks(vi.send_to_parts(nodes, router, probes, dims, total), dims, links_in_block(1.0 - distance), "u long, v long")
+    links = vi.in_blocks(vi.send_to_parts(nodes, router, probes, dims, total, margin), dims, links_in_block(1.0 - distance), "u long, v long")
     tied = connected_components(links)
     labelled = nodes.join(tied, "node", "left").select("node", "q", "h1", "h2", F.coalesce("label", "node").alias("label"))
     labels = materialize(labelled.select("node", "h1", "h2", "label"), "labels")

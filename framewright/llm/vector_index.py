@@ -95,12 +95,16 @@ class Router:
     def parts(self) -> int:
         return len(self.bias)
 
-    def probable(self, rows: np.ndarray, count: int) -> np.ndarray:
-        """The ``count`` most probable parts of every row, the most probable first."""
+    def probable(self, rows: np.ndarray, count: int, margin: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """The ``count`` most probable parts of every row, the most probable first, and
+        whether each is within ``margin`` of the first on the scale of log-odds."""
         logits = rows @ self.weights + self.bias
         count = min(count, self.parts)
         some = np.argpartition(-logits, count - 1, axis=1)[:, :count] if count < self.parts else np.tile(np.arange(self.parts), (len(rows), 1))
-        return np.take_along_axis(some, np.argsort(-np.take_along_axis(logits, some, 1), axis=1, kind="stable"), 1)
+        values = np.take_along_axis(logits, some, 1)
+        order = np.argsort(-values, axis=1, kind="stable")
+        values = np.take_along_axis(values, order, 1)
+        return np.take_along_axis(some, order, 1), values >= values[:, :1] - margin
 
 
 def neighbour_graph(rows: np.ndarray, k: int) -> np.ndarray:
@@ -236,9 +240,12 @@ def members(packed: DataFrame, nodes: DataFrame) -> DataFrame:
     return keys.join(nodes.select("node", "h1", "h2"), ["h1", "h2"]).select("id", "node")
 
 
-def send_to_parts(nodes: DataFrame, router: Router, probes: int, dims: int, total: int) -> DataFrame:
+def send_to_parts(nodes: DataFrame, router: Router, probes: int, dims: int, total: int, margin: float = np.inf) -> DataFrame:
     """A row for every (block, vector) that is to be compared there.
 
+    A query goes to at most ``probes`` parts, those within ``margin`` of its most probable
+    one: deep inside a part that is few, near the border of several it is more.
+
     A part of more than ``BLOCK_ROWS`` expected vectors is a grid of blocks:
     stored vectors are repeated along one side, queries along the other, so no
     task holds more than a block of either whatever the skew.
@@ -253,13 +260,14 @@ def send_to_parts(nodes: DataFrame, router: Router, probes: int, dims: int, tota
             rows = unpack(batch.column(1), dims)
             if not len(rows):
                 continue
-            near = model.probable(rows, probes)
+            near, worth = model.probable(rows, probes, margin)
             asks = batch.column(2).to_numpy(zero_copy_only=False) > 0
             node = batch.column(0).to_numpy()
             at, part, stored = [np.arange(len(rows))], [near[:, 0]], [np.ones(len(rows), bool)]
             line = np.flatnonzero(asks)
-            at.append(np.repeat(line, near.shape[1]))
-            part.append(near[line].ravel())
+            chosen = worth[line].ravel()
+            at.append(np.repeat(line, near.shape[1])[chosen])
+            part.append(near[line].ravel()[chosen])
             stored.append(np.zeros(len(at[1]), bool))
             at, part, stored = map(np.concatenate, (at, part, stored))
             times = side[part]
