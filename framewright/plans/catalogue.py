@@ -11,7 +11,7 @@ from framewright.functions import geometry, pixels, text, vectors
 from framewright.operators import captions, export, filters, ranking, refinement, selection
 from framewright.plans import oracle, pipeline
 from framewright.sources import images
-from framewright.storage import materialize, read_table
+from framewright.storage import materialize, read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 POOL, SEATS, DIMS = 100, 30, 64
@@ -50,7 +50,8 @@ def triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text", "trigger_word", "source")
+    """Captions, spread over the cores: their rules are many patterns a row."""
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "trigger_word", "source"), "doc_id")
 
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:

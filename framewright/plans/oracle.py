@@ -208,10 +208,29 @@ pool as (select *, row_number() over (order by total_score desc, path) as place
 
 USABLE = "len(feature_vector) = 64 and len(list_filter(feature_vector, lambda x: x is null or not isfinite(x))) = 0"
 FEATURES = stratified(USABLE).replace("with scored", "with recursive scored", 1) + """,
-unit as (select path, place - 1 as i, feature_vector::double[] as v, sqrt(list_dot_product(feature_vector::double[], feature_vector::double[])) as n from pool),
+unit as (select path, composition, year, head_pose, place - 1 as i, feature_vector::double[] as v, sqrt(list_dot_product(feature_vector::double[], feature_vector::double[])) as n from pool),
 d as (select a.i as a, b.i as b, a.path as pa, b.path as pb,
     round(case when a.i = b.i then 0.0 when a.n = 0 or b.n = 0 then 1.0 else greatest(0.0, least(2.0, 1 - list_dot_product(a.v, b.v) / (a.n * b.n))) end, 9) as dist from unit a, unit b)"""
 
+GREEDY = f""", close as (select u.i, list(d.b) filter (where d.b < u.i and d.dist < {CLOSE}) as earlier from unit u join d on d.a = u.i group by 1),
+  step(i, kept) as (select 0::bigint, [0::bigint] union all
+    select s.i + 1, case when list_has_any(coalesce(c.earlier, []::bigint[]), s.kept) then s.kept else list_append(s.kept, s.i + 1) end from step s join close c on c.i = s.i + 1)"""
+_SAME = "len(list_filter(p.chosen, lambda j: {0}[j + 1] = {0}[i + 1]))"
+_QUOTA = "case comps[i + 1] " + " ".join(f"when '{c}' then {n}" for c, n in selection.composition_quota(SEATS).items()) + " else 0 end"
+_IN_COMP = f"coalesce({_SAME.format('comps')} < {_QUOTA}, false)"
+_IN_YEAR = f"(years[i + 1] is null or len(ys) < 2 or {_SAME.format('years')} < {SEATS} // len(ys) + case when list_position(ys, years[i + 1]) <= {SEATS} % len(ys) then 1 else 0 end)"
+_TIER = f"case when {_IN_COMP} and {_IN_YEAR} then 0 when {_IN_COMP} then -1 when {_IN_YEAR} then -2 else -3 end"
+_FAR = f"p.near[i + 1] * case when coalesce(poses[i + 1], '') <> '' and {_SAME.format('poses')} = 0 then 1.05::double else 1.0::double end"
+QUOTA_FIRST = GREEDY + f""",
+  alive as (select *, row_number() over (order by i) - 1 as s from unit where list_contains((select kept from step order by i desc limit 1), i)),
+  mat as (select a.s as i, list(d.dist order by b.s) as row from d join alive a on a.i = d.a join alive b on b.i = d.b group by 1),
+  attr as (select list(composition order by s) as comps, list(year order by s) as years, list(head_pose order by s) as poses, count(*) as n, coalesce(list_sort(list(distinct year) filter (where year is not null)), []::int[]) as ys from alive),
+  pick(k, chosen, near) as (select 1, [0::bigint], (select row from mat where i = 0) union all
+    select q.k + 1, list_append(q.chosen, m.i), list_transform(list_zip(q.near, m.row), lambda x: least(x[1], x[2])) from (
+      select p.*, list_max(list_transform(list_filter(range(n), lambda i: not list_contains(p.chosen, i)), lambda i: {{'t': {_TIER}, 'f': {_FAR}, 'i': -i}})) as best from pick p, attr where p.k < {SEATS}) q
+      join mat m on m.i = -q.best.i)
+  select path, turn from (select unnest(chosen) as s, unnest(range(1, len(chosen) + 1)) as turn from (select chosen from pick order by k desc limit 1)) join alive using (s)"""
+
 VERDICTS = f"""select r.path, coalesce(v.is_single, true) as v_single, case when lower(trim(v.lighting)) = 'outdoor' then 'Outdoor' else 'Indoor' end as v_lighting,
   coalesce(v.has_sunglasses, false) as v_sunglasses, coalesce(v.has_face_occlusion, false) as v_occlusion from ({REC}) r left join (
   select * from (select *, row_number() over (partition by path order by checked_at desc nulls last, is_single desc nulls last, lighting desc nulls last, has_sunglasses desc nulls last, has_face_occlusion desc nulls last) as k
@@ -334,13 +353,13 @@ SQL: dict[str, str] = {
     "composition_quota": f"select composition, available, case composition {' '.join(f"when '{c}' then {n}" for c, n in selection.composition_quota(SEATS).items())} end as seats from (select case when composition in ('close-up', 'medium', 'full-body') then composition else 'medium' end as composition, count(*) as available from ({REC}) group by 1)",
     "cosine_pairs": FEATURES + " select least(pa, pb) as a, greatest(pa, pb) as b, round(dist, 6) as distance from d where a < b",
     "near_duplicates": FEATURES + f" select least(pa, pb) as a, greatest(pa, pb) as b, round(dist, 6) as distance from d where a < b and dist < {CLOSE}",
-    "greedy_dedup": FEATURES + f""", close as (select u.i, list(d.b) filter (where d.b < u.i and d.dist < {CLOSE}) as earlier from unit u join d on d.a = u.i group by 1),
-        step(i, kept) as (select 0::bigint, [0::bigint] union all select s.i + 1, case when list_has_any(coalesce(c.earlier, []::bigint[]), s.kept) then s.kept else list_append(s.kept, s.i + 1) end from step s join close c on c.i = s.i + 1)
+    "greedy_dedup": FEATURES + GREEDY + """
         select path from unit where list_contains((select kept from step order by i desc limit 1), i)""",
     "farthest_first": FEATURES + f""", mat as (select a as i, list(case when a = b then -1.0::double else dist end order by b) as row from d group by 1),
         step(k, last, near) as (select 1, 0::bigint, (select row from mat where i = 0)
             union all select s.k + 1, m.i, list_transform(list_zip(s.near, m.row), lambda x: least(x[1], x[2])) from step s join mat m on m.i = list_position(s.near, list_max(s.near)) - 1 where s.k < {SEATS})
         select u.path, s.k as turn from step s join unit u on u.i = s.last""",
+    "quota_farthest_first": FEATURES + QUOTA_FIRST,
     "median_vector": FEATURES + " select pos, round(median(x), 6) as value from (select unnest(v) as x, unnest(range(64))::int as pos from unit) group by 1",
     "consensus_outliers": FEATURES + """, mid as (select list(m order by pos) as mv from (select pos, median(x) as m from (select unnest(v) as x, unnest(range(64)) as pos from unit) group by 1)),
         away as (select path, round(case when n = 0 then 1.0 else 1 - list_dot_product(v, mv) / (n * sqrt(list_dot_product(mv, mv))) end, 9) as distance from unit, mid)
