@@ -31,13 +31,3 @@ def latest_rows(df: DataFrame, key: str, order: list[str], values: list[str]) ->
 def null_safe_equal(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     """Join condition on ``columns`` that treats two nulls as equal."""
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` in enough partitions to keep all cores busy with costly work per row.
-
-    A file of few row groups is read by few tasks; its rows are then spread by a
-    hash of ``key``. An input that is split finely enough is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(3 * cores, key)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import spread
+from framewright.storage import spread
 
 SHINGLE_WORDS = 5
 #: Words of evaluation texts that are held at once; longer lists go through the corpus in blocks.

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import spread
+from framewright.storage import spread
 
 KINDS = ["name", "email", "phone", "identity_number", "street_address"]
 HASH_SIZE = 1 << 15
