@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions import text
+from framewright.storage import materialize
 
 PASS_RATE = 80.0
 
@@ -72,3 +76,25 @@ def package_summary(status: DataFrame) -> DataFrame:
     counts = status.agg(F.count("*").alias("images"), F.count_if(F.col("status") == "missing").alias("missing"), F.count_if(F.col("status").isin("empty", "trigger_missing")).alias("invalid"))
     verdict = F.when(F.col("images") == 0, "no images").when(F.col("missing") > 0, "missing captions").when(F.col("invalid") > 0, "invalid captions").otherwise("packaged")
     return counts.withColumn("verdict", verdict)
+
+
+def generate(requests: DataFrame, provider: Callable[[DataFrame], DataFrame], retries: int = 2) -> DataFrame:
+    """Captions from a model, asked again with what was wrong until they pass.
+
+    ``requests`` has ``stem``, ``prompt``, ``trigger`` and ``lead``. ``provider`` takes ``stem``, ``prompt`` and
+    ``temperature`` and returns ``stem`` and ``content`` (null where the model failed); it is the caller's
+    ``mapInPandas`` over a model or service. Each round asks only for what has not passed yet and is
+    written to the shared folder, so that no answer is asked for twice.
+    Returns ``stem``, ``attempt``, ``caption`` and ``repaired``; a stem that never got a usable answer has no row.
+    """
+    open_ = requests.select("stem", "prompt", "trigger", "lead").withColumn("violations", F.array().cast("array<string>"))
+    rounds = []
+    for attempt in range(retries + 1):
+        asked = open_.select("stem", text.feedback_prompt(F.col("prompt"), F.col("violations")).alias("prompt"), text.retry_temperature(F.lit(attempt)).alias("temperature"))
+        told = open_.drop("violations").join(provider(asked).select("stem", "content"), "stem", "left")
+        told = told.withColumn("clean", text.cleaned(F.col("content"), F.col("trigger"), F.col("lead"))).withColumn("violations", text.audit_violations(F.col("clean.text"), F.col("trigger")))
+        told = told.withColumn("violations", F.when(F.col("clean.ok"), F.col("violations")).otherwise(F.array("clean.reason"))).withColumn("passed", F.size("violations") == 0)
+        told = materialize(told.withColumn("attempt", F.lit(attempt + 1)), "captions")
+        rounds.append(told.select("stem", "attempt", F.col("clean.ok").alias("ok"), "passed", F.col("clean.text").alias("caption")))
+        open_ = told.where(~F.col("passed")).select("stem", "prompt", "trigger", "lead", "violations")
+    return chosen_attempt(reduce(DataFrame.unionByName, rounds), "stem", "attempt", "ok", "passed", "caption")

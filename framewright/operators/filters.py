@@ -33,6 +33,32 @@ def first_pass(candidates: DataFrame, least: int = 1024) -> DataFrame:
     return rows.withColumn("composition", geometry.composition_class(F.col("face_box"), F.col("width"), F.col("height"))).withColumn("head_pose", pose).select("*", facts["hand_count"].alias("hand_count"), facts["hands_truncated"].alias("hands_truncated"), facts["hand_status"].alias("hand_status"))
 
 
+def rejection(candidates: DataFrame, least: int = 1024) -> DataFrame:
+    """``path`` and ``reason``: the first rule of the first pass that refuses a picture, null if none does."""
+    face = F.try_element_at("faces", F.lit(1))
+    points = face["keypoints"]
+    small = ~large_enough(F.col("width"), F.col("height"), least)
+    reason = (
+        F.when(F.col("width").isNull() | F.col("height").isNull(), "unreadable")
+        .when(small, "resolution")
+        .when(F.coalesce("letterboxed", F.lit(False)), "letterbox")
+        .when(F.coalesce(F.size("faces"), F.lit(0)) != 1, "not one face")
+        .when(F.coalesce(face["score"], F.lit(0.0)) < 0.65, "uncertain face")
+        .when(face["y"] > 0.48, "face too low")
+        .when(F.coalesce(F.size(points), F.lit(0)) < 4, "missing keypoints")
+        .when(~geometry.face_accepted(F.col("faces")), "implausible face")
+    )
+    return candidates.select("path", reason.alias("reason"))
+
+
+def require_survivors(records: DataFrame, wanted: int = 30) -> tuple[int, bool]:
+    """Number of records and whether it is below ``wanted``; raises if there are none."""
+    n = records.count()
+    if n == 0:
+        raise TooFewImages("no image passed")
+    return n, n < wanted
+
+
 def parse_era(window: str | None) -> tuple[int, int] | None:
     """First and last year of ``YYYY`` or ``YYYY-YYYY``; None for no window, 'all' or anything else."""
     found = re.fullmatch(r"\s*(\d{4})(?:\s*-\s*(\d{4}))?\s*", window or "")

@@ -208,7 +208,7 @@ pool as (select *, row_number() over (order by total_score desc, path) as place
 
 USABLE = "len(feature_vector) = 64 and len(list_filter(feature_vector, lambda x: x is null or not isfinite(x))) = 0"
 FEATURES = stratified(USABLE).replace("with scored", "with recursive scored", 1) + """,
-unit as (select path, composition, year, head_pose, place - 1 as i, feature_vector::double[] as v, sqrt(list_dot_product(feature_vector::double[], feature_vector::double[])) as n from pool),
+unit as (select path, composition, year, head_pose, total_score, place - 1 as i, feature_vector::double[] as v, sqrt(list_dot_product(feature_vector::double[], feature_vector::double[])) as n from pool),
 d as (select a.i as a, b.i as b, a.path as pa, b.path as pb,
     round(case when a.i = b.i then 0.0 when a.n = 0 or b.n = 0 then 1.0 else greatest(0.0, least(2.0, 1 - list_dot_product(a.v, b.v) / (a.n * b.n))) end, 9) as dist from unit a, unit b)"""
 
@@ -236,6 +236,44 @@ VERDICTS = f"""select r.path, coalesce(v.is_single, true) as v_single, case when
   select * from (select *, row_number() over (partition by path order by checked_at desc nulls last, is_single desc nulls last, lighting desc nulls last, has_sunglasses desc nulls last, has_face_occlusion desc nulls last) as k
     from vlm_verdicts) where k = 1) v on v.path = r.path"""
 
+
+def _picked(order_by: str) -> str:
+    """The portfolio's paths with their seats, from the last state of a stage."""
+    return f" select path, seat from (select unnest(refined) as i, unnest(range(1, len(refined) + 1)) as seat from (select refined from {order_by} order by k desc limit 1)) join unit using (i)"
+
+
+# The fold's state is two lists of places, the portfolio and the pool; each recursion step is one swap.
+REFINE = (
+    FEATURES
+    + QUOTA_FIRST.replace("\n  select path, turn from (", ",\n  sel as (select alive.i, turn from (", 1)
+    + f"""),
+  facts as (select list(composition order by i) as comps, list(total_score order by i) as scores, list(v_single order by i) as single, list(v_sunglasses order by i) as glasses, list(v_occlusion order by i) as covered
+    from unit join ({VERDICTS}) using (path)),
+  dupes as (select list(nr order by i) as near from (select a as i, list(b) filter (where dist < 0.05) as nr from d group by 1)),
+  middle as (select list(m order by pos) as mv from (select pos, median(x) as m from (select unnest(v) as x, unnest(range(64)) as pos from unit join sel using (i)) group by 1)),
+  gone as (select list(i order by away, i) as removed from (select *, row_number() over (order by away desc, i desc) as r, count(*) over () as n from (
+    select i, round(case when n = 0 then 1.0 else 1 - list_dot_product(v, mv) / (n * sqrt(list_dot_product(mv, mv))) end, 9) as away from unit join sel using (i), middle)) where r <= greatest(1, trunc(n * 0.05)::int)),
+  stage_a(k, refined, rest) as (
+    select 0, (select list(i order by turn) from sel, gone where not list_contains(removed, i)), (select list(i order by i) from unit where i not in (select sel.i from sel, gone where not list_contains(removed, sel.i)))
+    union all
+    select k + 1, case when new is null then refined else list_append(refined, new) end, list_filter(rest, lambda x: x is distinct from new) from (
+      select *, coalesce(list_filter(fresh, lambda x: comps[x + 1] is not distinct from comps[removed[k + 1] + 1])[1], fresh[1]) as new from (
+        select a.*, comps, removed, list_filter(rest, lambda x: not list_has_any(near[x + 1], refined)) as fresh from stage_a a, facts, dupes, gone where k < len(removed)))),
+  stage_b(k, refined, rest, several) as (
+    select 0, refined, rest, list_filter(refined, lambda x: not single[x + 1]) from (select * from stage_a order by k desc limit 1), facts
+    union all
+    select k + 1, case when new is null then left_ else list_append(left_, new) end, list_filter(rest, lambda x: x is distinct from new), several from (
+      select *, list_filter(rest, lambda x: single[x + 1] and not list_has_any(near[x + 1], left_))[1] as new from (
+        select b.*, single, near, list_filter(refined, lambda x: x <> several[k + 1]) as left_ from stage_b b, facts, dupes where k < len(several)))),
+  stage_c(k, refined, rest, problem) as (
+    select 0, refined, rest, list_filter(refined, lambda x: glasses[x + 1] or covered[x + 1]) from (select * from stage_b order by k desc limit 1), facts
+    union all
+    select k + 1, case when best is not null then list_append(left_, best.x) when glasses[problem[k + 1] + 1] then left_ else refined end, list_filter(rest, lambda x: x is distinct from best.x), problem from (
+      select *, list_min(list_transform(list_filter(rest, lambda x: single[x + 1] and not glasses[x + 1] and not covered[x + 1] and not list_has_any(near[x + 1], refined)),
+          lambda x: {{'m': comps[x + 1] is distinct from comps[problem[k + 1] + 1], 's': -scores[x + 1], 'x': x}})) as best from (
+        select c.*, single, glasses, covered, comps, scores, near, list_filter(refined, lambda x: x <> problem[k + 1]) as left_ from stage_c c, facts, dupes where k < len(problem))))"""
+)
+
 _BLUR = f"""
 select path, x0, y0, x1, y1 from (
   select path, greatest(0, greatest(0, trunc(lx)::int) - {geometry.PAD}) as x0, least(width, least(width, trunc(hx)::int) + {geometry.PAD}) as x1,
@@ -394,4 +432,6 @@ SQL["face_geometry_filter"] = f"""select path, case when q >= 0.040 then 'close-
       0.40::double - (p_partkey * 3 + 1) % 10 * 0.005::double as rx, 0.43::double + (p_partkey * 7 + 2) % 10 * 0.005::double as lx, 0.40::double + (p_partkey * 11 + 3) % 20 * 0.005::double as nx,
       0.26::double + p_partkey * 13 % 20 * 0.01::double as ny, 0.31::double + (p_partkey * 17 + 5) % 20 * 0.01::double as my, (0.30::double + 0.31::double) * 0.5::double as eye from part where p_partkey % 9 > 1)))
   where least(w, hh) >= 1024 and score >= 0.65 and y <= 0.48 and sqrt((lx - rx) ** 2 + (0.31::double - 0.30::double) ** 2) >= 0.040 and my > eye + 0.025::double and ny >= eye - 0.03::double and ny <= my + 0.03::double and bw > 0 and bh > 0"""
+for _name, _stage in (("outlier_replacement", "stage_a"), ("single_subject_swap", "stage_b"), ("face_integrity_swap", "stage_c")):
+    SQL[_name] = REFINE + _picked(_stage)
 SQL["composition_class_counts"] = f"select composition, count(*) as n from ({SQL['composition_class']}) group by 1"
