@@ -56,6 +56,11 @@ _ADDRESS = [
     ("es", re.compile(rf"(?<![\w-])(?:calle|c/|avenida|avda\.?|paseo|plaza|camino|via|viale|corso)[ \t\xa0]{{0,3}}(?:de{_S})?(?:{_W}{_S}){{0,3}}?{_W},?{_S}\d{{1,4}}\b", re.I)),
     ("fr", re.compile(rf"(?<![\w.,-])\d{{1,4}}(?:\s?(?:bis|ter))?,?{_S}(?:rue|avenue|boulevard|chemin|place|quai|allée|impasse|cours){_S}(?:de\s|du\s|des\s|d['’])?(?:la\s)?{_W}(?:[ ](?-i:[A-Z])[\w'’-]*)?", re.I)),
 ]
+# What a form cannot do without, looked for first where the form itself is slow.
+_NEEDS = {
+    "en_after": re.compile(rf"\b(?:{_STREETS})\.?,?{_S}(?:no\.?\s?)?\d", re.I),
+    "de": re.compile(rf"(?:stra(?:ß|ss)e|str\.?|weg|gasse|allee|platz|damm|ufer|ring){_S}\d", re.I),
+}
 _TOKEN = re.compile(r"(?:[^\W\d_]|Ã.)+(?:['’\-](?:[^\W\d_]|Ã.)+)*")
 
 # Titles, particles of family names, endings of file names.
@@ -396,6 +401,8 @@ class Finder:
             if sum(c.isdigit() for c in m.group()) >= 6:
                 self._add(out, text, m.start(), m.end(), 3, _number_features(text, 3, m.start(), m.end()))
         for form, pattern in _ADDRESS:
+            if form in _NEEDS and not _NEEDS[form].search(text):
+                continue
             at = 0
             while m := pattern.search(text, at):
                 self._add(out, text, m.start(), m.end(), 4, _address_features(text, form, m.start(), m.end()))
@@ -424,7 +431,7 @@ class Finder:
     def _names(self, out: list[Segment], text: str) -> None:
         lex, given, family = self.lexicon, self.lexicon.given, self.lexicon.family
         spans = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text)]
-        low = [_repaired(w) for _, _, w in spans]
+        low = [w.lower() if w.isascii() else _repaired(w) for _, _, w in spans]
         n = len(spans)
         seen: set[tuple[int, int]] = set()
 
@@ -463,6 +470,9 @@ class Finder:
         for i in range(n):
             word = low[i]
             cased = spans[i][2][0].isupper()
+            if not cased and len(word) > 1 and word not in given and word not in family and word not in PARTICLES and "-" not in word:
+                if not (i + 1 < n and low[i + 1] in family) and not (i and low[i - 1] in TITLES):
+                    continue
             if len(word) == 1:  # initial and family
                 if gap(i, _INITIAL) and (e := family_end(i + 1)) is not None:
                     if lex.family_status(low[e]) != UNKNOWN or (self.discover and cased and spans[e][2][0].isupper()):
