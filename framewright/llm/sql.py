@@ -56,9 +56,26 @@ runs as (
 leaks as (select distinct d.id as doc_id, e.id as item_id from runs d join runs e on d.run = e.run and d.kind = 0 and e.kind = 1)
 """
 
+_VECTORS = """
+with recursive vectors as (
+  select distinct image_id, feature_vector::double[] as v from image_metrics
+  where image_id is not null and len(feature_vector) = 64 and len(list_filter(feature_vector, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(feature_vector, lambda x: x <> 0)) > 0),
+unit as (select image_id, v, sqrt(list_dot_product(v, v)) as n from vectors),
+near as (
+  select distinct a.image_id as a, b.image_id as b, list_dot_product(a.v, b.v) / (a.n * b.n) as similarity
+  from unit a join unit b on a.image_id < b.image_id where list_dot_product(a.v, b.v) / (a.n * b.n) > 0.94)
+"""
+_REACH = """,
+links as (select a as u, b as w from near where 1 - similarity < 0.05 union select b, a from near where 1 - similarity < 0.05),
+reach(id, other) as (select distinct image_id, image_id from unit union select r.id, l.w from reach r join links l on l.u = r.other)
+"""
+
 SQL = {
     "p1_fused_ranking": _p1(),
     "p2_found": _CELLS + "select target_id from have, size where available < greatest(min_rows, cast(ceil(target_permille * s / 1000.0) as bigint))",
+    "p3_found": _VECTORS + _REACH + "select id as image_id from reach group by id having count(*) >= 10",
+    "p4_found": _VECTORS + "select distinct a as image_id_a, b as image_id_b from near where similarity >= 0.98",
     "p5_found": _TOP3 + 'select image_id from ranked where "rank" <= 3',
     "p5_top3": _TOP3 + 'select trigger_word, year, image_id, total_score, "rank" from ranked where "rank" <= 3',
     "p8_found": _LEAKS + "select doc_id, item_id from leaks",
