@@ -8,9 +8,10 @@ scores 0. Dynamic programming over the segment bounds gives the partition
 function and marginals in training, and the best joint choice of bounds and
 types in use. The model is trained here on generated sentences.
 
-Names that are on no list are learned from the corpus: a first pass finds names in
-clear surroundings everywhere, and words that keep appearing there as given or
-family names join the lexicon of the second pass.
+Names that are on no list are scored as well where their words are capitalised or
+follow a title; the field decides by their surroundings. Words that keep appearing
+in the corpus as given or family names are learned in a first pass: they are a
+feature of the second, and are possible names there in lower case, too.
 """
 
 from __future__ import annotations
@@ -203,7 +204,7 @@ _NAME_SLOTS = [
     "Invoice goes to {n}, {a}.", "The label on the parcel reads '{n}, {a}'.", "Delivery note: {a}; ring {p}; ask for {n}.", "{n} sits in frame nine and wants a copy.", "{n} leans on the wall in a market hall, and the left hand holds a cup.",
     "In a brick yard {n} wears a blue linen coat next to a kiosk.", "{n} agreed to be shown with a scarf.", "Ms. {f} approved frames 3 to 9.", "Dr. {n} agreed to be named.", "Mr {f} called twice.", "Mrs. {f} asked for prints.", "The blur is strong, so {n} reshoots it at {a}.",
     "Fotografin: {n}, erreichbar unter {p}.", "Freigabe von {n} liegt vor.", "Herr {f} hat zugestimmt.", "Frau {f} ist einverstanden.", "Accord signé par {n}.", "Photo de {n}, joignable au {p}.", "Permiso firmado por {n}.", "Foto de {n}, teléfono {p}.",
-    "{n} stands with weight on one leg in a corridor.", "{n} walks toward the camera in a market hall.", "{n} turns back over one shoulder.", "{n} perches on a stool near the window.", "thanks to {n} for the session", "Consent of {n} is on file.", "Booked by {n} last week.",
+    "{n} stands with weight on one leg in a corridor.", "{n} walks toward the camera in a market hall.", "{n} turns back over one shoulder.", "{n} perches on a stool near the window.", "{n} {v} near the door.", "{n} {v} against a low fence, eyes to the side.", "Then {n} {v} in a doorway.", "thanks to {n} for the session", "Consent of {n} is on file.", "Booked by {n} last week.",
 ]
 _OTHER_SLOTS = [
     "Call {p} or write {e}.", "Reach the studio at {p} before noon.", "my number is {p} text me", "A van with {p} painted on the side blocks the gate.", "A whiteboard in the background shows {p}.", "Mobile {p}", "Tel. {p}",
@@ -218,10 +219,18 @@ _DECOYS = [
     "We lost {99} minutes to rain in Lower Quay, then finished with {g} light.", "Baker Street market was closed, so we shot the street set in Port Vale.", "The Corvin Film {99} sat on a tripod in the Upper Dale market hall.", "Mail the prints on Monday; the box at the door is number {99}.", "1e-05 0x1F 3.14159265358979",
     "Counted {99} close-ups, {99} waist-ups and {99} full-body frames.", "Frames {99} to {99} may be used for training.", "Rule of thumb: {99} images with light from a street lamp and the rest outdoors.", "A good caption has between {99} and {99} words.", "We met at noon dot by dot, at the gate.", "Order {9999999} was paid, batch {9999}-{9999}.",
     "Look at the wall. It is at the left.", "The {G} Avenue backdrop is new, {99} copies sold.", "The Pell and {G} preset makes everything sand.", "Temperature 0.{9999999}", "loss {9}.{99999999} after {9999} steps", "Build {9999}.{99}.{99}.{999}", "Lower Quay, Port Vale and Saint Orra are near.", "{G}, {g} and navy are the colours of the set.", "Write '{g}' for the colour.", "ISBN-like code {999}-{9}-{99}-{999999}-{9} on the shelf.",
-    "{G} Studio opens at nine.", "Behind the {g} curtain stand {99} chairs.", "He wears an {g} coat over a {g} vest, near Copper Hall.",
+    "{G} Studio opens at nine.", "A {w} of {w} {w}, {w} {w} and the {w} of {w} {w}.", "Look for {w} {w} first, then {w} {w} on the {w}.", "The {w} {w} the {w} by {w}, then {w} {w} toward the {w}.", "Note: {w} {w}, three {w} {w}; a {w} of {w} {w} unless it {w} both {w}.",
+    "Pick it up at flat {9}{C}. Framed from below.", "Recogida en {s}, {9}.º {C}. Foto de día.", "{G} Street market was closed.",
+    "Behind the {g} curtain stand {99} chairs.", "He wears an {g} coat over a {g} vest, near Copper Hall.",
 ]
 
 
+# Plain words of descriptions, for sentences without names.
+_THINGS = "glass stone rope brass cotton ladder bucket lantern dusk fog rain iron paper kettle chair oak clay broken golden empty dusty painted carries holds folds turns waits morning corner shelf bench".split()
+
+_VERBS = "stands sits leans rests kneels walks crouches waits looks smiles bends turns poses laughs".split()
+
+
 def _digits(rng: random.Random, shape: str) -> str:
     return re.sub("9", lambda _: str(rng.randint(0, 9)), shape)
 
@@ -273,8 +282,8 @@ class Sentences:
         else:
             text = f"{given} {r.choice('ABCDEFGHJKLMNOPRSTVWY')}. {family}"
         k = r.random()
-        if level != UNKNOWN and ". " not in text:
-            text = text.upper() if k < 0.1 else text.lower() if k < 0.2 else text
+        if ". " not in text:
+            text = text.upper() if k < 0.1 else text.lower() if k < 0.2 and level != UNKNOWN else text
         return text
 
     def email(self) -> str:
@@ -340,6 +349,12 @@ class Sentences:
                     kind, maker = make[key]
                     value = maker()
                     gold.append((len(text), len(text) + len(value), kind))
+                elif key == "v":
+                    value = r.choice(_VERBS)
+                elif key == "w":
+                    value = r.choice(_THINGS) if r.random() < 0.5 else self._given().lower()
+                elif key == "C":
+                    value = r.choice("ABCDEFGH")
                 elif key.upper() == "G":
                     value = r.choice(self.given)
                     value = value.lower() if key == "g" else value
@@ -356,6 +371,8 @@ class Sentences:
             if text:
                 text += self.rng.choice([" ", " ", "\n", "\n\n"])
             more, found = self.sentence()
+            if self.rng.random() < 0.08 and len(more.upper()) == len(more):
+                more = more.upper()
             gold |= {(a + len(text), b + len(text), k) for a, b, k in found}
             text += more
         return text, gold
@@ -368,7 +385,7 @@ def train_field(names: list[tuple[str, str]], documents: int = 5000, seed: int =
     samples = []
     for k in range(documents):
         text, gold = maker.document()
-        segments = Finder(lexicon, discover=True).segments(text)
+        segments = Finder(lexicon).segments(text)
         have = {(s.start, s.end, s.kind) for s in segments}
         exact = set()
         for a, b, kind in gold:
@@ -387,8 +404,8 @@ _INITIAL = re.compile(r"\.[ \t ]{0,3}")
 class Finder:
     """Possible entities of a text, with their features."""
 
-    def __init__(self, lexicon: Lexicon, discover: bool = False):
-        self.lexicon, self.discover = lexicon, discover
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
 
     def segments(self, text: str) -> list[Segment]:
         out: list[Segment] = []
@@ -451,7 +468,7 @@ class Finder:
             gs = lex.given_status(low[g]) if g is not None else "-"
             fs = lex.family_status(low[f])
             particle = first_family != f
-            if gs in (UNKNOWN, "-") and fs == UNKNOWN and not self.discover:
+            if start and text[start - 1].isdigit():  # the letter of a house number or a flat
                 return
             if (low[f] in COMMON and fs == UNKNOWN) or (g is not None and low[g] in COMMON and gs == UNKNOWN):
                 return
@@ -464,7 +481,9 @@ class Finder:
                 f"known {known}", f"form {form} known {known}", f"case {gc}{fc}", f"case {gc}{fc} known {known}", f"form {form} {gc}{fc}", f"particle {particle} {known}", f"title {titled}",
                 f"hyphen {'-' in spans[f][2]} {known}", f"begin {before.strip() == '' and (start == 0 or chr(10) in before)} {known}", f"len {min(len(spans[f][2]), 4)}", f"inner {j - i}",
             ]
-            features += [f"{c} {known}" for c in _context(text, start, end)[:3]]
+            near = [spans[k][2] for k in (i - 2, i - 1, j + 1, j + 2) if 0 <= k < n and len(spans[k][2]) > 1]
+            loud = bool(near) and all(w.isupper() for w in near)  # among capitals a word in capitals says nothing
+            features += [f"loud {loud} {gc}{fc} {known}"] + [f"{c} {known}" for c in _context(text, start, end)[:3]]
             self._add(out, text, start, end, 0, features, (low[g] if g is not None else "", low[f]))
 
         for i in range(n):
@@ -475,12 +494,12 @@ class Finder:
                     continue
             if len(word) == 1:  # initial and family
                 if gap(i, _INITIAL) and (e := family_end(i + 1)) is not None:
-                    if lex.family_status(low[e]) != UNKNOWN or (self.discover and cased and spans[e][2][0].isupper()):
+                    if lex.family_status(low[e]) != UNKNOWN or (cased and spans[e][2][0].isupper()):
                         add(i, e, "IF", None, e, i + 1)
                 continue
             if i and low[i - 1] in TITLES and re.fullmatch(r"\.?[ \t ]{1,3}", text[spans[i - 1][1] : spans[i][0]]) and (e := family_end(i)) is not None:
                 add(i, e, "TF", None, e, i)
-            start_given = word in given or (cased and self.discover)
+            start_given = word in given or cased
             if start_given or (cased and word not in PARTICLES) or (i + 1 < n and low[i + 1] in family):
                 k = i
                 form = "GF"
@@ -493,7 +512,7 @@ class Finder:
                 e = family_end(i)
                 if e is not None and gap(e, _COMMA) and e + 1 < n and len(low[e + 1]) > 1:
                     gs, fs = lex.given_status(low[e + 1]), lex.family_status(low[e])
-                    if (gs != UNKNOWN or fs != UNKNOWN) or (self.discover and cased and spans[e + 1][2][0].isupper()):
+                    if (gs != UNKNOWN or fs != UNKNOWN) or (cased and spans[e + 1][2][0].isupper()):
                         add(i, e + 1, "F,G", e + 1, e, i)
 
 
@@ -610,7 +629,7 @@ def learned_lexicon(documents: DataFrame, listed: Lexicon, weights: np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, w = shared.value
-        finder, sure, all_uses = Finder(lexicon, discover=True), Counter(), Counter()
+        finder, sure, all_uses = Finder(lexicon), Counter(), Counter()
         for batch in batches:
             for value in batch.column(0):
                 text = value.as_py()

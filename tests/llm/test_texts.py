@@ -206,6 +206,41 @@ def test_single_items(field, text, want):
     assert [(personal.KINDS[s.kind], text[s.start : s.end]) for s in found] == want
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Shot by Philippa Nguyel for the winter set.", ["Philippa Nguyel"]),
+        ("Ms. Nguyel approved frames 3 to 9. Makeup by T. Quarrendon, hair by Amber Vessucci.", ["Nguyel", "T. Quarrendon", "Amber Vessucci"]),
+        ("Invoice goes to Kowalind, Aurelio, 12A Hazel Row Rd.", ["Kowalind, Aurelio"]),
+        ("Model release signed by PHILIPPA NGUYEL on paper.", ["PHILIPPA NGUYEL"]),
+        ("GRADERS LOOK FOR WORN VELVET FIRST, THEN SODIUM GLOW FROM THE QUAY.", []),
+        ("Return the prints to 12 Maple Street, Unit 9C. Framed at eye level.", []),
+    ],
+)
+def test_names_on_no_list(field, text, want):
+    """The surroundings decide, whatever the corpus has taught."""
+    found = personal.entities(text, personal.Finder(field[0]), field[1])
+    assert [text[s.start : s.end] for s in found if s.kind == 0] == want
+
+
+def test_recall_over_all_generated_names(field):
+    maker, hits, wrong, total = personal.Sentences(NAMES, 4242), 0, 0, 0
+    finder = personal.Finder(personal.Lexicon({g.lower(): "K" for g in maker.given}, {f.lower(): "K" for f in maker.family}))  # nothing is learned
+    for _ in range(600):
+        text, gold = maker.document()
+        got = {s.start for s in personal.entities(text, finder, field[1]) if s.kind == 0}
+        want = {a for a, _, k in gold if k == 0 and not text[a:].split()[0].islower()}
+        hits, wrong, total = hits + len(got & want), wrong + len(got - {a for a, _, k in gold if k == 0}), total + len(want)
+    assert hits / total > 0.95 and wrong / (hits + wrong) < 0.03
+
+
+def test_name_that_occurs_once(spark):
+    d = spark.createDataFrame([(1, "Shot by Philippa Nguyel for the winter set."), (2, "The wall is grey.")], "doc_id long, text string")
+    n = spark.createDataFrame(NAMES, "given_name string, family_name string")
+    assert [tuple(r) for r in personal.find_personal(d, n).collect()] == [(1, "name", 9)]
+    assert personal.redact_personal(d, n).where("doc_id = 1").first()["text"] == "Shot by [NAME] for the winter set."
+
+
 def test_marginals_and_best_against_enumeration():
     rng = np.random.default_rng(1)
     for _ in range(20):
