@@ -64,6 +64,8 @@ _CUE = re.compile(
     r"désolé\w*|ne peux|leid|leider|ablehnen|kann ich\b.{0,40}\bnicht|outside what i|what i may|have the ability|inappropriate|pass on this|must pass|en mesure|in der lage|me es posible|kann dabei nicht)\b",
     re.I,
 )
+#: Words by which a writer speaks of itself; what cannot be seen in a picture, or whom a sitter declines, is no refusal.
+_SPEAKER = re.compile(r"\b(?:i|me|my|ich|mir|mich|je|puedo|debo|siento)\b", re.I)
 _STOP = {k: frozenset(v.split()) for k, v in STOPWORDS.items()}
 
 _LANGUAGES = {w: [k for k, s in _STOP.items() if w in s] for s in _STOP.values() for w in s}
@@ -103,7 +105,7 @@ def prompt_facts(prompt: str) -> tuple[str, str, set, set]:
     return lang, opening, set(every), set(zip(every, every[1:], every[2:]))
 
 
-DENSE = 37
+DENSE = 38
 
 
 def pair_features(prompt: str | None, content: str | None, facts: tuple | None = None) -> tuple[list[int], np.ndarray]:
@@ -170,8 +172,9 @@ def pair_features(prompt: str | None, content: str | None, facts: tuple | None =
     x[34] = min(3, sum(cued)) / 3
     x[35] = sum(cued) / max(1, len(cued))
     x[36] = x[35] > 0.45
+    x[37] = any(c and _SPEAKER.search(t) for c, t in zip(cued, sentences))
     mask, base = (1 << HASH_BITS) - 1, 0
-    grams = [f"w {w}" for w in fwords[:40]] + [f"b {a} {b}" for a, b in zip(fwords[:40], fwords[1:41])]
+    grams = [f"w {w}" for w in fwords] + [f"b {a} {b}" for a, b in zip(fwords, fwords[1:])]
     stop = "." if x[16] and not x[18] else "-"
     for k in (1, 2, 3):
         grams.append(f"t{k}{stop} {' '.join(ends[-k:])}")
@@ -269,6 +272,10 @@ def training_pairs(rows: list[tuple[str | None, str | None]], seed: int = 29) ->
             out.append((prompt, emptied(rng), 0))
         elif r < 0.42:
             out.append((prompt, rng.choice(PREAMBLES[:6]) + refused(f[1] if f else "", rng), 2))
+            if rng.random() < 0.4:  # after much of an answer, so that it may stand anywhere in the text
+                told = re.split(r"(?<=[.!?。])\s+", strip_markup(content))
+                head = " ".join(told[: rng.randint(1, len(told))])
+                out.append((prompt, head + rng.choice([" ", "\n\n"]) + refused("", rng), 2))
         elif r < 0.65 and prompt:
             out.append((prompt, copied(prompt, content, rng), 1))
         elif f and f[0] in _STOP:

@@ -148,6 +148,21 @@ def test_single_defects(model, content, defect):
     assert defects.decide(model, PROMPT, content) == defect
 
 
+def test_words_past_the_fortieth_count():
+    """A word in the middle of a long text reaches the model."""
+    long = lambda word: " ".join(["wall"] * 60 + [word] + ["door"] * 20) + "."
+    assert set(defects.pair_features(PROMPT, long("lamp"))[0]) != set(defects.pair_features(PROMPT, long("sign"))[0])
+
+
+def test_refusals_past_the_fortieth_word(attempts):
+    """Trained on half of the attempts; refusals behind long answers of the other half."""
+    model, rng = defects.train([(p, c) for k, p, c in attempts if k % 2]), random.Random(5)
+    held = [(p, c) for k, p, c in attempts if not k % 2 and p and c and len(c.split()) > 45 and not defects.suspicious(p, c)]
+    sound = [(p, c) for p, c in held if defects.decide(model, p, c) is None]
+    late = [defects.decide(model, p, c + " " + rng.choice(defects.REFUSALS)) for p, c in sound]
+    assert len(late) > 50 and sum(k == "refusal" for k in late) / len(late) > 0.5
+
+
 def test_without_prompt_only_the_answer_counts(model):
     assert defects.decide(model, None, ANSWER) is None and defects.decide(model, None, "") == "empty"
 
