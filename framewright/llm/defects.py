@@ -54,7 +54,11 @@ PREAMBLES = ["", "", "", "Sure! ", "Certainly. ", "Here is the caption:\n\n", "*
 _BLANK = re.compile("[​‌‍⁠﻿­]")
 _MARKUP = re.compile(r"```\w*|`|\*\*|__|</?[A-Za-z][^<>]{0,80}>|^\s*#+\s*|^\s*[-*•]\s+", re.M)
 _LABEL = re.compile(r"^[\W_]*(?:[^\W\d_]+[ ]?){1,3}:\s*(?=$|\n)")
-_TAGS = re.compile(r"\n\s*(?:tags?|keywords|stichw[öo]rter|mots-clés|etiquetas)\s*:.*$", re.I | re.S)
+# A tag line, on as long as lines end with a comma, or a heading and the short lines below it.
+_TAGS = re.compile(
+    r"\n\s*(?:tags?|keywords|stichw[öo]rter|mots-clés|etiquetas)\s*:[ \t]*(?:(?:[^\n]*,[ \t]*\n)*[^\n]*\S[^\n]*|(?:\n[ \t]*[^\s.!?。]+(?:[ \t]+[^\s.!?。]+){0,2}[ \t]*(?=\n|$))*)",
+    re.I,
+)
 _QUOTED = re.compile(r"(?<!\w)['\"“‘«„][^'\"”’»“\n]{3,160}['\"”’»“](?!\w)")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 LAST_LATIN = "ɏ"

@@ -154,6 +154,23 @@ def test_words_past_the_fortieth_count():
     assert set(defects.pair_features(PROMPT, long("lamp"))[0]) != set(defects.pair_features(PROMPT, long("sign"))[0])
 
 
+@pytest.mark.parametrize(
+    ("content", "rest"),
+    [
+        (ANSWER + "\n\nTags: parka, tunic", ANSWER), (ANSWER + "\nTags: parka,\ntunic, vest", ANSWER), (ANSWER + "\n\nTags:\nparka\nrain cape\n\nA last line.", ANSWER + " A last line."),
+        (ANSWER + "\n\nKeywords: parka, tunic\n\nI cannot go on.", ANSWER + " I cannot go on."), ("\nTags: parka, tunic\n" + ANSWER, ANSWER),
+    ],
+)
+def test_only_the_tag_list_is_left_out(content, rest):
+    assert " ".join(defects._TAGS.sub("", content).split()) == rest
+
+
+@pytest.mark.parametrize("tail", ["I'm sorry, but I can't describe this picture.", "I must decline this request."])
+def test_defects_after_a_tag_line(model, tail):
+    assert defects.decide(model, PROMPT, "tok woman, a close-up shot.\n\nTags: parka, tunic\n\n" + tail) == "refusal"
+    assert defects.decide(model, PROMPT, "tok woman, a close-up shot.\n\nTags: parka, tunic\n\n" + ANSWER) is None
+
+
 def test_refusals_past_the_fortieth_word(attempts):
     """Trained on half of the attempts; refusals behind long answers of the other half."""
     model, rng = defects.train([(p, c) for k, p, c in attempts if k % 2]), random.Random(5)
