@@ -117,23 +117,25 @@ def core_set(rows: pd.DataFrame, size: int, dims: int) -> pd.DataFrame:
     return rows.iloc[sorted(chosen)]
 
 
-def local_search(rows: pd.DataFrame, size: int, dims: int, least_gain: float = 1e-4, rounds: int = 2000) -> pd.DataFrame:
+def local_search(rows: pd.DataFrame, size: int, dims: int, least_gain: float = 1e-9) -> pd.DataFrame:
     """Swaps a selected and an unselected candidate while the sum of pairwise distances grows.
 
-    A swap must raise the sum by the factor ``1 + least_gain``, which bounds the
-    number of swaps; ``rounds`` guards against rounding.
+    The end is a local optimum: no swap raises the sum by the factor
+    ``1 + least_gain``, which only keeps out rounding. Distances are in double
+    precision; as the sum grows with every swap, no selection comes twice.
     """
     rows = rows.sort_values("id", kind="stable").reset_index(drop=True)
     if len(rows) <= size:
         return rows
-    f = _features(rows, dims)
+    vectors, *labels = _features(rows, dims)
+    f = (vectors.astype("f8"), *labels)
     start = core_set(rows, size, dims).index.to_numpy()
     inside = np.zeros(len(rows), bool)
     inside[start] = True
     to_chosen = {int(i): _distance(int(i), *f) for i in start}
     total = np.sum(list(to_chosen.values()), axis=0)  # of each candidate, to all selected
     worth = total[inside].sum() / 2
-    for _ in range(rounds):
+    while True:
         chosen = np.flatnonzero(inside)
         matrix = np.stack([to_chosen[int(i)] for i in chosen])
         gain = total[None, :] - matrix - total[chosen][:, None]

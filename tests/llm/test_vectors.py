@@ -138,6 +138,18 @@ def test_local_search_only_improves():
     assert len(best) == 12 and worth(best["id"]) >= worth(start["id"])
 
 
+def test_local_search_ends_where_no_swap_gains():
+    rng = np.random.default_rng(4)
+    m = rng.normal(size=(800, DIMS))
+    rows = pd.DataFrame({"id": range(800), "q": [x.as_py() for x in vi.pack(m / np.linalg.norm(m, axis=1, keepdims=True))], "composition": ["a", "b"] * 400, "head_pose": ["", "x", "y", "z"] * 200, "group_items": 1})
+    vectors, comp, pose = varied_subset._features(rows, DIMS)
+    every = np.stack([varied_subset._distance(i, vectors.astype("f8"), comp, pose) for i in range(800)])
+    inside = np.isin(np.arange(800), varied_subset.local_search(rows, 100, DIMS)["id"])
+    total = every[inside].sum(axis=0)
+    gain = total[None, ~inside] - every[inside][:, ~inside] - total[inside][:, None]
+    assert inside.sum() == 100 and gain.max() < 1e-4
+
+
 def test_empty_and_tiny_tables(spark):
     for rows in ([], [(1, None, None, None)], [(1, [1.0] * DIMS, "a", "b")]):
         df = make(spark, rows)
