@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from framewright.storage import materialize
 
 MAX_TARGETS = 100_000
+HASH_CELLS = 1 << 30
 
 
 def tidy_label(label: Column) -> Column:
@@ -52,6 +53,36 @@ def allocate(total: int, shares: list[Fraction], floors: list[int], available: l
     return quota
 
 
+def assigned(members: DataFrame, asked: dict[int, int]) -> DataFrame:
+    """Every picture with one of its targets.
+
+    Pictures of the same several targets are split by a hash in the shares of what
+    these targets still lack of what they ask, sets of fewer targets first; where
+    none lacks anything, they go to the smallest id. At most ``MAX_TARGETS`` different
+    sets are read to the driver, after a check.
+    """
+    sets = materialize(members.groupBy("image_id").agg(F.sort_array(F.collect_set("target_id")).alias("__t")), "quota-sets")
+    shared = sets.where(F.size("__t") > 1).groupBy("__t").agg(F.count("*").alias("n")).limit(MAX_TARGETS + 1).collect()
+    if len(shared) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} sets of targets that share pictures")
+    single_sets = sets.where(F.size("__t") == 1).select("image_id", F.col("__t")[0].alias("target_id"))
+    if not shared:
+        return single_sets
+    single = {r["t"]: r["n"] for r in single_sets.groupBy(F.col("target_id").alias("t")).agg(F.count("*").alias("n")).collect()}
+    lack = {t: Fraction(max(0, a - single.get(t, 0))) for t, a in asked.items()}
+    cuts = []
+    for row in sorted(shared, key=lambda x: (len(x["__t"]), x["__t"])):
+        whole, upto = sum(lack[t] for t in row["__t"]), Fraction(0)
+        share = {t: lack[t] / whole if whole else Fraction(t == row["__t"][0]) for t in row["__t"]}
+        for t in row["__t"]:
+            cuts.append((row["__t"], t, int(upto * HASH_CELLS), int((upto + share[t]) * HASH_CELLS)))
+            upto, lack[t] = upto + share[t], max(Fraction(0), lack[t] - row["n"] * share[t])
+    plan = members.sparkSession.createDataFrame(cuts, f"__t {dict(sets.dtypes)['__t']}, target_id int, __from long, __to long")
+    cell = F.pmod(F.xxhash64("image_id", F.lit(41)), F.lit(HASH_CELLS))
+    split = sets.where(F.size("__t") > 1).withColumn("__h", cell).join(F.broadcast(plan), "__t").where("__h >= __from and __h < __to")
+    return single_sets.unionByName(split.select("image_id", "target_id"))
+
+
 def quota_plan(cells: DataFrame, targets: DataFrame, one_in: int) -> tuple[DataFrame, DataFrame]:
     """Counts pictures per target and allots quotas; returns (members, report).
 
@@ -61,8 +92,8 @@ def quota_plan(cells: DataFrame, targets: DataFrame, one_in: int) -> tuple[DataF
 
     Rows with a null id are no pictures; a null year matches only a null year and
     a null composition only a null one; a picture seen with several
-    compositions or years counts for each such target but is drawn once, for
-    the smallest target id; repeated rows count once. With no
+    compositions or years is available to each such target but is assigned to one
+    (see ``assigned``), and quotas go by what is assigned; repeated rows count once. With no
     pictures every target is reported with its shortfall; with no targets both
     results are empty. The targets are a plan written by hand, so they are
     read to the driver, after a check that there are at most ``MAX_TARGETS``.
@@ -86,10 +117,12 @@ def quota_plan(cells: DataFrame, targets: DataFrame, one_in: int) -> tuple[DataF
     floors = [max(0, r["min_rows"] or 0) for r in plan]
     available = [have.get(r["target_id"], 0) for r in plan]
     asked = [max(f, -((-s.numerator * size) // s.denominator)) for f, s in zip(floors, shares)]
-    quota = allocate(size, shares, floors, available)
+    members = assigned(members.where("target_id is not null"), {r["target_id"]: w for r, w in zip(plan, asked)})
+    own = {r["target_id"]: r["n"] for r in members.groupBy("target_id").agg(F.count("*").alias("n")).collect()}
+    quota = allocate(size, shares, floors, [own.get(r["target_id"], 0) for r in plan])
     rows = [(r["target_id"], w, a, q, max(0, w - a)) for r, w, a, q in zip(plan, asked, available, quota)]
     report = spark.createDataFrame(rows, "target_id int, wanted long, available long, quota long, shortfall long")
-    return members.where("target_id is not null"), report
+    return members, report
 
 
 def draw_sample(members: DataFrame, report: DataFrame, seed: int = 17, key_buckets: int = 1024) -> DataFrame:

@@ -100,6 +100,19 @@ def test_quota_sample(spark):
     assert sorted(r["target_id"] for r in few).count(1) == 13
 
 
+def test_pictures_of_several_targets_fill_the_quotas(spark):
+    """Each picture belongs to one target before quotas are given out, so that all of them can be drawn."""
+    rows = [(i, c, 2020) for i in range(40) for c in ("a", "b")] + [(i, "c", 2020) for i in range(100, 160)]
+    cells = spark.createDataFrame(rows, "image_id long, composition string, year int")
+    targets = spark.createDataFrame([(1, "a", 2020, 300, 0, 0), (2, "b", 2020, 300, 0, 0), (3, "c", 2020, 400, 0, 0)], TARGETS)
+    members, report = quota_sample.quota_plan(cells, targets, one_in=2)
+    quota = {r["target_id"]: r["quota"] for r in report.collect()}
+    assert [r["available"] for r in report.orderBy("target_id").collect()] == [40, 40, 60] and sum(quota.values()) == 50
+    drawn = quota_sample.draw_sample(members, report).collect()
+    assert len({r["image_id"] for r in drawn}) == len(drawn) == 50
+    assert {t: sum(r["target_id"] == t for r in drawn) for t in quota} == quota and min(quota.values()) >= 10
+
+
 def test_quota_sample_of_empty_tables(spark):
     cells = spark.createDataFrame([], "image_id long, composition string, year int")
     targets = spark.createDataFrame([(1, "a", 2020, 1000, 3, 0)], TARGETS)
