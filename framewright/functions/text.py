@@ -51,7 +51,7 @@ INTRO = (
     r"(?:portrait|photo|shot|picture|image)?\s*(?:of\s+)?(?:(?:a|the)\s+)?(?:woman|man|person|model|subject|individual)?\s*(?:is\s+)?(?:captured|seen|shown|pictured|featured)?\s*"
 )
 CONTINUATIONS = ("looking", "seated", "sitting", "standing", "lying", "kneeling", "leaning", "posing", "posed", "wearing", "dressed", "with ", "in ", "at ", "from ", "outdoors", "indoors")
-#: Turns of the lead-stripping loop; each turn only removes text, and a stable text stays as it is.
+#: Turns of the lead-stripping loop in the SQL twins. The expression here goes on until the text is stable.
 LOOP_TURNS = 8
 
 
@@ -183,7 +183,12 @@ def without_lead(text: Column, trigger: Column, opening: Column) -> Column:
         body = F.when(begun, strip(F.substring(acc, F.length(opening) + 1, F.length(acc)), edge)).otherwise(acc)
         return strip(sub(strip(sub(body, repeated, ""), edge), INTRO, ""), edge)
 
-    body = F.aggregate(F.sequence(F.lit(1), F.lit(LOOP_TURNS)), text, turn)
+    def until_stable(acc: Column, step: Column) -> Column:
+        return F.when(acc["stable"], acc).otherwise(let(turn(acc["body"], step), lambda b: F.struct(b.alias("body"), b.eqNullSafe(acc["body"]).alias("stable"))))
+
+    # a turn only removes text, so there are at most as many as characters; those after the last change cost nothing
+    start = F.struct(text.alias("body"), F.lit(False).alias("stable"))
+    body = F.aggregate(F.sequence(F.lit(1), F.length(text) + 1), start, until_stable, lambda acc: acc["body"])
     body = sub(body, F.concat(F.lit(r"(?iU)\b"), quoted(trigger), F.lit(r"\s+(?:woman|man|person|model)\b")), "the subject")
     return sub(body, F.concat(F.lit(r"(?iU)\b"), quoted(trigger), F.lit(r"\b")), "she")
 

@@ -138,3 +138,10 @@ def test_pairs_and_package(spark):
     assert captions.package_summary(status).first()["verdict"] == "missing captions"
     assert captions.package_summary(status.where("stem = 'a'")).first()["verdict"] == "packaged"
     assert captions.package_summary(status.limit(0)).first()["verdict"] == "no images"
+
+
+def test_leads_are_stripped_until_the_text_is_stable(spark):
+    layers = ["shown in " * 40 + "rain", "tok woman, a close-up shot. shown in " * 20 + "She waits", "She waits", "", None]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(layers)], "k int, x string")
+    got = df.select("k", text.without_lead(F.col("x"), F.lit("tok"), F.lit("tok woman, a close-up shot")).alias("y")).orderBy("k")
+    assert [r["y"] for r in got.collect()] == ["rain", "She waits", "She waits", "", None]
