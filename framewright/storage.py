@@ -3,7 +3,8 @@
 Spark's own ``checkpoint()`` writes uncompressed rows; a parquet table in the
 same folder is smaller, is read back column by column and survives the loss of
 any executor. The folder is the one named by ``spark.checkpoint.dir``; a
-temporary folder is used only where that setting is absent (local tests).
+temporary folder is used only where that setting is absent and the master is local (tests);
+on a cluster without it nothing is written.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
         setting = spark.conf.get("spark.checkpoint.dir", "")
+        if not setting and not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(setting or tempfile.mkdtemp(prefix="framewright-"))
     return context.getCheckpointDir().get()
 
@@ -28,11 +31,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; deleted when the JVM ends."""
+def materialize(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; deleted when the JVM ends. ``by``: columns that split it into folders."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
