@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.llm import vector_index as vi
+from framewright.llm.common import hot_bound
 from framewright.storage import materialize
 
 SCHEMA = "node long, other long, similarity float"
@@ -43,7 +42,7 @@ def best_in_block(k: int, least: float):
     return work
 
 
-def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int, query: Column | None = None, probes: int | None = None, least: float = -1.0, margin: float = math.inf) -> DataFrame:
+def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int, query: Column | None = None, probes: int | None = None, least: float = -1.0, margin: float = 5.0) -> DataFrame:
     """The ``k`` most similar other items (cosine) of every item that asks.
 
     Rows with unusable vectors (see ``packed_vectors``) or a null id neither
@@ -52,8 +51,8 @@ def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int,
     Exact copies of a vector are merged before the search and put back
     after it, each item linking to at most ``k`` others. ``query`` says which rows
     ask (all, if None), ``least`` leaves out less similar pairs, ``probes`` is
-    the number of parts asked (default 1.5 times the root of their number), of which those
-    further than ``margin`` from the most probable are spared.
+    the most parts that are asked (default: ``vector_index.default_probes``), of which those whose
+    log-probability is more than ``margin`` below the highest are spared.
     An empty table gives no rows.
 
     Returns ``id``, ``other_id``, ``similarity`` (single precision) and ``rank``.
@@ -62,11 +61,7 @@ def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int,
     packed = vi.packed_vectors(table, item_id, vector, dims)
     asks = F.lit(1) if query is None else keep.cast("int")
     nodes = vi.distinct_vectors(packed, asks)
-    total = nodes.count()
-    router = vi.fit_router(nodes.select("q"), dims)
-    probes = probes or math.ceil(1.5 * math.sqrt(router.parts))
-    sent = vi.send_to_parts(nodes, router, probes, dims, total, margin)
-    near = vi.in_blocks(sent, dims, best_in_block(k, least), SCHEMA)
+    near = vi.compared(nodes, dims, probes, margin, best_in_block(k, least), SCHEMA)
     order = Window.partitionBy("node").orderBy(F.col("similarity").desc(), "other")
     near = near.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= k).drop("__r")
     people = materialize(vi.members(packed, nodes), "members")
@@ -75,7 +70,19 @@ def most_similar(table: DataFrame, item_id: str, vector: str, dims: int, k: int,
     copies = few.select("node", F.col("node").alias("other"), F.lit(1.0).cast("float").alias("similarity")).groupBy("node", "other", "similarity").agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
     links = near.unionByName(copies).join(few.select(F.col("node").alias("other"), F.col("id").alias("other_id")), "other")
     askers = people if query is None else people.where(keep)
-    pairs = askers.join(links.select("node", "other_id", "similarity"), "node").where("id <> other_id")
+    pairs = _by_node(askers, links.select("node", "other_id", "similarity"), nodes).where("id <> other_id")
     pairs = pairs.groupBy("id", "other_id").agg(F.max("similarity").alias("similarity"))
     best = Window.partitionBy("id").orderBy(F.col("similarity").desc(), "other_id")
     return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def _by_node(askers: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Askers with the links of their vector. Links of vectors that very many rows share are broadcast:
+    there are fewer than a thousand such vectors, with at most ``(k + 1) ** 2`` links each."""
+    total, most = nodes.agg(F.sum("copies"), F.max("copies")).first()
+    bound = hot_bound(total or 0)
+    if (most or 0) <= bound:
+        return askers.join(links, "node")
+    hot = F.broadcast(nodes.where(F.col("copies") > bound).select("node"))
+    few = askers.join(hot, "node").join(F.broadcast(links.join(hot, "node")), "node")
+    return few.unionByName(askers.join(hot, "node", "left_anti").join(links.join(hot, "node", "left_anti"), "node"))

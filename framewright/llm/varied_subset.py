@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import vector_index as vi
+from framewright.llm.common import skew_join
 from framewright.llm.components import connected_components
 from framewright.llm.quota_sample import tidy_label
 from framewright.storage import materialize
@@ -72,20 +73,17 @@ def lookalike_groups(table: DataFrame, item_id: str, vector: str, dims: int, dis
     """
     packed = vi.packed_vectors(table, item_id, vector, dims)
     nodes = vi.distinct_vectors(packed, F.lit(1))
-    total = nodes.count()
-    router = vi.fit_router(nodes.select("q"), dims)
-    links = vi.in_blocks(vi.send_to_parts(nodes, router, probes, dims, total, margin), dims, links_in_block(1.0 - distance), "u long, v long")
+    links = vi.compared(nodes, dims, probes, margin, links_in_block(1.0 - distance), "u long, v long")
     tied = connected_components(links)
-    labelled = nodes.join(tied, "node", "left").select("node", "q", "h1", "h2", F.coalesce("label", "node").alias("label"))
-    labels = materialize(labelled.select("node", "h1", "h2", "label"), "labels")
-    people = materialize(vi.members(packed, labels).join(labels.select("node", "label"), "node"), "people")
+    labels = materialize(nodes.join(tied, "node", "left").select("node", "h1", "h2", "copies", F.coalesce("label", "node").alias("label")), "labels")
+    people = materialize(vi.members(packed, labels, "label"), "people")
     return people, nodes.join(labels.select("node", "label"), "node").select("node", "q", "label")
 
 
 def large_groups(people: DataFrame, least: int) -> DataFrame:
     """``id`` of the items in groups of at least ``least`` different items."""
     size = people.select("id", "label").distinct().groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return people.join(size.select("label"), "label").select("id").distinct()
+    return skew_join(people, size, ["label"], "n").select("id").distinct()
 
 
 # ---- dispersion --------------------------------------------------------------------------------

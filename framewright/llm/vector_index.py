@@ -2,16 +2,23 @@
 
 A bounded sample gives a nearest-neighbour graph, the graph is cut into
 balanced parts, and a small softmax classifier learns in which parts a vector's
-neighbours lie. Every vector of the table is then stored in its most probable
-part, and sent as a query to several probable ones, where it is compared
-exactly. The model is the only thing on the driver; it is bounded by
-``MAX_SAMPLE`` vectors and ``MAX_PARTS`` parts whatever the size of the table.
+neighbours lie. Every part is then cut in the same way, by a classifier of its
+own that is fitted to a sample of its own on the executors, until parts hold about
+``ROWS_PER_PART`` vectors whatever the size of the table. Every vector is stored
+in its most probable leaf part, and sent as a query to several probable ones, where
+it is compared exactly.
+
+What is broadcast are the classifiers, ``dims`` numbers a part. A table of more than
+``SHARD_ROWS`` vectors is first routed into shards on the shared folder, each with
+classifiers of its own, so that neither broadcasts nor the driver grow with it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,18 +26,28 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framewright.llm.common import skew_join
 from framewright.storage import materialize
 
 ROWS_PER_PART = 1200
-MAX_PARTS = 1250
-SAMPLE_PER_PART = 48
-MIN_SAMPLE, MAX_SAMPLE = 4_000, 40_000
+#: Sample vectors a part is fitted to, and the least number of a whole sample.
+SAMPLE_PER_PART, MIN_SAMPLE = 48, 4_000
+#: Vectors that are indexed with one set of broadcast classifiers: about 80 MB of them at 64 dimensions.
+SHARD_ROWS = 400_000_000
+#: Parts of one classifier up to which no second level is needed.
+FLAT_PARTS = 24
 NEIGHBOURS = 10
 #: Rows of one part that are stored together; larger parts are cut into a grid of such blocks.
 BLOCK_ROWS = 20_000
 LEVELS = 32767
 #: Numbers of a product of matrices that are held at once on the driver.
 CELLS = 4_000_000
+#: By how much more than the margin the first level's choice may lie below the best.
+SLACK = 1.0
+#: Numbers of the parts of one part, at most.
+WIDTH = 1 << 20
+
+Work = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.Table]
 
 
 def usable_vectors(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,16 +112,73 @@ class Router:
     def parts(self) -> int:
         return len(self.bias)
 
-    def probable(self, rows: np.ndarray, count: int, margin: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
-        """The ``count`` most probable parts of every row, the most probable first, and
-        whether each is within ``margin`` of the first on the scale of log-odds."""
+    def logs(self, rows: np.ndarray) -> np.ndarray:
+        """Logarithm of the probability of every part."""
         logits = rows @ self.weights + self.bias
-        count = min(count, self.parts)
-        some = np.argpartition(-logits, count - 1, axis=1)[:, :count] if count < self.parts else np.tile(np.arange(self.parts), (len(rows), 1))
-        values = np.take_along_axis(logits, some, 1)
-        order = np.argsort(-values, axis=1, kind="stable")
-        values = np.take_along_axis(values, order, 1)
-        return np.take_along_axis(some, order, 1), values >= values[:, :1] - margin
+        logits -= logits.max(axis=1, keepdims=True)
+        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+
+def largest(values: np.ndarray, count: int) -> np.ndarray:
+    """Places of the ``count`` largest numbers of every row, in any order."""
+    return np.argpartition(-values, count - 1, axis=1)[:, :count] if count < values.shape[1] else np.tile(np.arange(values.shape[1]), (len(values), 1))
+
+
+@dataclass(frozen=True)
+class Tree:
+    """A classifier over the table's parts and, for each part that is cut again, one over its own parts.
+
+    A leaf has the number ``part * WIDTH + part of the part``.
+    """
+
+    top: Router
+    below: dict[int, Router]
+
+    def home(self, rows: np.ndarray) -> np.ndarray:
+        """The most probable leaf of every row, level by level."""
+        first = best_column(np.hstack([rows, np.ones((len(rows), 1), "f4")]), np.vstack([self.top.weights, self.top.bias]))
+        leaf = first.astype("i8") * WIDTH
+        for part in np.unique(first):
+            if (router := self.below.get(int(part))) is not None:
+                at = np.flatnonzero(first == part)
+                leaf[at] += router.logs(rows[at]).argmax(axis=1)
+        return leaf
+
+    def probable(self, rows: np.ndarray, count: int, margin: float) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of the at most ``count`` most probable leaves of every row, whose
+        log-probability is within ``margin`` of the highest one's."""
+        logs = self.top.logs(rows)
+        near = largest(logs, min(count, logs.shape[1]))
+        logs = np.take_along_axis(logs, near, 1)
+        line, slot = np.nonzero(logs >= logs.max(axis=1, keepdims=True) - margin - SLACK)
+        part, base = near[line, slot], logs[line, slot]
+        at, leaf, log = [line[:0]], [line[:0]], [base[:0]]
+        order = np.argsort(part, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+            router = self.below.get(int(part[group[0]]))
+            inner = router.logs(rows[line[group]]) if router is not None else np.zeros((len(group), 1), "f4")
+            few = largest(inner, min(count, inner.shape[1]))
+            log.append((np.take_along_axis(inner, few, 1) + base[group, None]).ravel())
+            at.append(np.repeat(line[group], few.shape[1]))
+            leaf.append((part[group[0]].astype("i8") * WIDTH + few).ravel())
+        at, leaf, log = (np.concatenate(x) for x in (at, leaf, log))
+        best = np.full(len(rows), -np.inf)
+        np.maximum.at(best, at, log)
+        good = log >= best[at] - margin
+        at, leaf, log = at[good], leaf[good], log[good]
+        order = np.lexsort((leaf, -log, at))
+        at, leaf = at[order], leaf[order]
+        head = np.arange(len(at)) - np.searchsorted(at, at) < count
+        return at[head], leaf[head]
+
+    def shares(self) -> dict[int, float]:
+        """Expected share of the table of every leaf."""
+        out = {}
+        for part, share in enumerate(self.top.share):
+            router = self.below.get(part)
+            for inner, own in enumerate(router.share if router is not None else [1.0]):
+                out[part * WIDTH + inner] = float(share * own)
+        return out
 
 
 def neighbour_graph(rows: np.ndarray, k: int) -> np.ndarray:
@@ -168,15 +242,10 @@ def balanced_parts(rows: np.ndarray, graph: np.ndarray, parts: int, rounds: int
     return label
 
 
-def train_router(rows: np.ndarray, epochs: int = 10) -> Router:
-    """Fits parts and classifier to sample rows of unit length (single precision)."""
-    n, dims = rows.shape
-    return fit_parts(rows, max(1, n // SAMPLE_PER_PART), epochs) if n > NEIGHBOURS + 1 else Router(np.zeros((dims, 1), "f4"), np.zeros(1, "f4"), np.ones(1))
-
-
-def fit_parts(rows: np.ndarray, parts: int, epochs: int) -> Router:
+def fit_parts(rows: np.ndarray, parts: int, epochs: int = 10) -> Router:
+    """Parts and their classifier, fitted to sample rows of unit length (single precision)."""
     n, dims = rows.shape
-    if parts == 1:
+    if parts <= 1 or n <= NEIGHBOURS + 1:
         return Router(np.zeros((dims, 1), "f4"), np.zeros(1, "f4"), np.ones(1))
     graph = neighbour_graph(rows, NEIGHBOURS)
     label = balanced_parts(rows, graph, parts)
@@ -207,18 +276,56 @@ def fit_parts(rows: np.ndarray, parts: int, epochs: int) -> Router:
     return Router(weights.astype("f4"), bias.astype("f4"), share)
 
 
-def fit_router(packed: DataFrame, dims: int) -> Router:
-    """Trains on a sample of distinct vectors, at most ``MAX_SAMPLE`` (a hash of the id decides)."""
-    n = packed.count()
-    parts = int(min(MAX_PARTS, max(1, round(n / ROWS_PER_PART))))
-    size = min(MAX_SAMPLE, max(MIN_SAMPLE, SAMPLE_PER_PART * parts))
-    keep = min(1.0, 1.05 * size / max(n, 1))
-    picked = packed.where(F.pmod(F.xxhash64("q", F.lit(3)), F.lit(1 << 30)) < int(keep * (1 << 30))).select("q").limit(2 * size)
-    rows = sorted({bytes(r) for r in picked.toArrow().column(0).to_pylist()})
-    if len(rows) <= NEIGHBOURS + 1:
-        return Router(np.zeros((dims, 1), "f4"), np.zeros(1, "f4"), np.ones(1))
-    matrix = unpack(pa.array(rows, pa.binary()), dims)
-    return fit_parts(matrix, min(parts, max(1, len(rows) // 16)), 10)
+def sampled(packed: DataFrame, share: float, seed: int) -> DataFrame:
+    """A share of the vectors, decided by a hash of the vector."""
+    return packed.where(F.pmod(F.xxhash64("q", F.lit(seed)), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30)))
+
+
+def fit_top(packed: DataFrame, dims: int, total: int, parts: int) -> Router:
+    """Trains on a sample of distinct vectors, about ``SAMPLE_PER_PART`` a part."""
+    size = max(MIN_SAMPLE, SAMPLE_PER_PART * parts)
+    rows = sorted({bytes(r) for r in sampled(packed.select("q"), 1.1 * size / max(total, 1), 3).toArrow().column(0).to_pylist()})
+    return fit_parts(unpack(pa.array(rows, pa.binary()), dims), min(parts, len(rows) // 16))
+
+
+def fit_tree(packed: DataFrame, dims: int, total: int) -> Tree:
+    """Classifiers for ``total`` distinct vectors; both levels are about the root of the number of parts wide.
+
+    Samples hold about ``SAMPLE_PER_PART`` vectors a part, and are thinned further where the first
+    level expects a part far above the mean, so no task and no driver gets more than a
+    multiple of the root of the table.
+    """
+    parts = max(1, round(total / ROWS_PER_PART))
+    if parts <= FLAT_PARTS:
+        return Tree(fit_top(packed, dims, total, parts), {})
+    top = fit_top(packed, dims, total, math.ceil(math.sqrt(parts)))
+    rate = SAMPLE_PER_PART / ROWS_PER_PART
+    # of a part that is much larger than the others a smaller share is drawn; its number of parts grows all the same
+    thin = np.minimum(1.0, 8 * max(MIN_SAMPLE, total * rate / top.parts) / np.maximum(1, top.share * total * rate))
+    shared = packed.sparkSession.sparkContext.broadcast((Tree(top, {}), thin))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, keep = shared.value
+        for batch in batches:
+            if batch.num_rows:
+                part = tree.home(unpack(batch.column(0), dims)) // WIDTH
+                drawn = pc.divide(batch.column(1), 1 << 30).to_numpy(zero_copy_only=False)
+                at = np.flatnonzero(drawn < keep[part])
+                yield pa.RecordBatch.from_arrays([pa.array(part[at].astype("i4")), batch.column(0).take(pa.array(at))], ["part", "q"])
+
+    def fit(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        rows = unpack(pa.array(sorted(table.column("q").to_pylist()), pa.binary()), dims)
+        router = fit_parts(rows, min(round(len(rows) / thin[part] / (rate * ROWS_PER_PART)), len(rows) // 16))
+        return pa.table({"part": pa.array([part], pa.int32()), "weights": [router.weights.tobytes()], "bias": [router.bias.tobytes()], "share": [router.share.astype("f8").tobytes()]})
+
+    drawn = F.pmod(F.xxhash64("q", F.lit(7)), F.lit(1 << 30)).cast("double")
+    some = sampled(packed.select("q"), rate, 5).select("q", drawn.alias("drawn")).mapInArrow(route, "part int, q binary")
+    models = some.repartition(top.parts, "part").groupBy("part").applyInArrow(fit, "part int, weights binary, bias binary, share binary").toArrow()
+    below = {}
+    for part, weights, bias, share in zip(*(models.column(i).to_pylist() for i in range(4))):
+        below[part] = Router(np.frombuffer(weights, "f4").reshape(dims, -1), np.frombuffer(bias, "f4"), np.frombuffer(share, "f8"))
+    return Tree(top, below)
 
 
 # ---- distinct vectors and their blocks ---------------------------------------------------------
@@ -229,66 +336,105 @@ def distinct_vectors(packed: DataFrame, query: Column) -> DataFrame:
 
     Copies are merged here, on the map side first, so a vector that a third of
     all rows share is stored and compared once. ``query``: whether a row asks.
+    ``copies`` is the number of its rows.
     """
-    one = packed.groupBy("q").agg(F.max(query.cast("int")).alias("asks"))
-    return materialize(one.select(F.monotonically_increasing_id().alias("node"), "q", F.xxhash64("q").alias("h1"), F.hash("q").alias("h2"), "asks"), "vectors")
+    one = packed.groupBy("q").agg(F.max(query.cast("int")).alias("asks"), F.count("*").alias("copies"))
+    return materialize(one.select(F.monotonically_increasing_id().alias("node"), "q", F.xxhash64("q").alias("h1"), F.hash("q").alias("h2"), "asks", "copies"), "vectors")
 
 
-def members(packed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``id`` and ``node`` of every row, one per pair. Joins on 96 bits of hash instead of the vector."""
+def members(packed: DataFrame, nodes: DataFrame, *more: str) -> DataFrame:
+    """``id`` and ``node`` (and ``more`` columns of nodes) of every row, one per pair. Joins on 96 bits of hash instead of the vector;
+    a vector that very many rows share is no hot key (see ``skew_join``)."""
     keys = packed.select("id", F.xxhash64("q").alias("h1"), F.hash("q").alias("h2")).distinct()
-    return keys.join(nodes.select("node", "h1", "h2"), ["h1", "h2"]).select("id", "node")
+    return skew_join(keys, nodes.select("node", "h1", "h2", "copies", *more), ["h1", "h2"], "copies").select("id", "node", *more)
 
 
-def send_to_parts(nodes: DataFrame, router: Router, probes: int, dims: int, total: int, margin: float = np.inf) -> DataFrame:
-    """A row for every (block, vector) that is to be compared there.
+def compared(nodes: DataFrame, dims: int, probes: int | None, margin: float, work: Work, schema: str) -> DataFrame:
+    """Results of ``work(query nodes, query rows, stored nodes, stored rows)`` over all parts.
+
+    ``nodes`` is a table with ``node``, ``q`` and ``asks``. A query goes to at most ``probes``
+    leaves (default: 1.5 times the root of their number), those within ``margin`` of its most
+    probable one: deep inside a part that is few, near the border of several it is more.
+    """
+    total = nodes.count()
+    rows = nodes.select("node", "q", "asks", F.lit(True).alias("kept"))
+    if total <= SHARD_ROWS:
+        return _in_blocks(_sent(rows, fit_tree(nodes, dims, total), dims, probes, margin, total), dims, work, schema)
+    top = fit_top(nodes, dims, total, 2 * -(-total // SHARD_ROWS))
+    shared = nodes.sparkSession.sparkContext.broadcast(Tree(top, {}))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors = unpack(batch.column(1), dims)
+                home = shared.value.home(vectors)
+                at, shard = shared.value.probable(vectors, probes or top.parts, margin)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(at)) for i in range(3)), pa.array(home[at] == shard), pa.array((shard // WIDTH).astype("i4"))], ["node", "q", "asks", "kept", "shard"])
+
+    routed = rows.drop("kept").mapInArrow(route, "node long, q binary, asks int, kept boolean, shard int").where("kept or asks > 0")
+    routed = materialize(routed, "shards", by=["shard"])
+    sizes = {r["shard"]: r["n"] for r in routed.where("kept").groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    found = []
+    for shard, n in sorted(sizes.items()):  # each is written, so that neither plans nor broadcasts pile up
+        part = routed.where(F.col("shard") == shard).drop("shard")
+        found.append(materialize(_in_blocks(_sent(part, fit_tree(part.where("kept"), dims, n), dims, probes, margin, n), dims, work, schema), "shard"))
+    return reduce(DataFrame.unionByName, found)
+
 
-    A query goes to at most ``probes`` parts, those within ``margin`` of its most probable
-    one: deep inside a part that is few, near the border of several it is more.
+def default_probes(leaves: int) -> int:
+    """1.5 times the root of the number of leaves, but at least 12 % of them: vectors without any clusters need a share."""
+    return min(leaves, max(math.ceil(1.5 * math.sqrt(leaves)), math.ceil(0.12 * leaves)))
+
+
+def _sent(rows: DataFrame, tree: Tree, dims: int, probes: int | None, margin: float, total: int) -> DataFrame:
+    """A row for every (block, vector) that is to be compared there.
 
     A part of more than ``BLOCK_ROWS`` expected vectors is a grid of blocks:
     stored vectors are repeated along one side, queries along the other, so no
     task holds more than a block of either whatever the skew.
     """
-    spark = nodes.sparkSession
-    shared = spark.sparkContext.broadcast(router)  # at most MAX_PARTS * (dims + 2) numbers
-    side = np.maximum(1, np.ceil(router.share * total / BLOCK_ROWS)).astype("i8")
+    spark = rows.sparkSession
+    shares = tree.shares()
+    probes = probes or default_probes(len(shares))
+    grids = {leaf: math.ceil(share * total / BLOCK_ROWS) for leaf, share in shares.items() if share * total > BLOCK_ROWS}
+    large = np.array(sorted(grids), "i8")
+    shared = spark.sparkContext.broadcast((tree, large, np.array([grids[leaf] for leaf in large.tolist()], "i8")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model, big, sides = shared.value
         for batch in batches:
-            rows = unpack(batch.column(1), dims)
-            if not len(rows):
+            if not batch.num_rows:
                 continue
-            near, worth = model.probable(rows, probes, margin)
-            asks = batch.column(2).to_numpy(zero_copy_only=False) > 0
+            vectors = unpack(batch.column(1), dims)
             node = batch.column(0).to_numpy()
-            at, part, stored = [np.arange(len(rows))], [near[:, 0]], [np.ones(len(rows), bool)]
-            line = np.flatnonzero(asks)
-            chosen = worth[line].ravel()
-            at.append(np.repeat(line, near.shape[1])[chosen])
-            part.append(near[line].ravel()[chosen])
-            stored.append(np.zeros(len(at[1]), bool))
-            at, part, stored = map(np.concatenate, (at, part, stored))
-            times = side[part]
+            line = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False) > 0)
+            kept = np.flatnonzero(batch.column(3).to_numpy(zero_copy_only=False))
+            near, leaf = model.probable(vectors[line], probes, margin)
+            at = np.concatenate([kept, line[near]])
+            part = np.concatenate([model.home(vectors[kept]), leaf])
+            stored = np.arange(len(at)) < len(kept)
+            times = np.ones(len(at), "i8")
+            if len(big):
+                place = np.minimum(np.searchsorted(big, part), len(big) - 1)
+                times = np.where(big[place] == part, sides[place], 1)
             spot = np.repeat(np.arange(len(at)), times)
             walk = np.arange(len(spot)) - np.repeat(np.cumsum(times) - times, times)
             own = (node[at] * 0x9E3779B1 >> 7) % times
             row, kind = at[spot], stored[spot]
             block = np.where(kind, own[spot] * times[spot] + walk, walk * times[spot] + own[spot])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part[spot].astype("i4")), pa.array(block.astype("i4")), pa.array(kind), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
+                [pa.array(part[spot]), pa.array(block.astype("i4")), pa.array(kind), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
                 ["part", "block", "stored", "node", "q"],
             )
 
-    sent = nodes.select("node", "q", "asks").mapInArrow(run, "part int, block int, stored boolean, node long, q binary")
+    sent = rows.select("node", "q", "asks", "kept").mapInArrow(run, "part long, block int, stored boolean, node long, q binary")
     # about 200,000 rows a task at most, so that a task stays small whatever the session's setting
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total * (probes + 1) // 200_000))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total * (min(probes, 12) + 1) // 200_000))
     return sent.repartition(int(tasks), "part", "block")
 
 
-def in_blocks(sent: DataFrame, dims: int, work: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
-    """Applies ``work(query nodes, query rows, stored nodes, stored rows)`` to every block."""
+def _in_blocks(sent: DataFrame, dims: int, work: Work, schema: str) -> DataFrame:
+    """Applies ``work`` to every block."""
 
     def run(table: pa.Table) -> pa.Table:
         stored = table.column("stored").to_numpy(zero_copy_only=False).astype(bool)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from framewright.llm import neighbours, varied_subset
+from framewright.llm import common, components, neighbours, varied_subset
 from framewright.llm import vector_index as vi
 from framewright.llm.components import connected_components
 
@@ -89,6 +89,25 @@ def test_large_parts_become_grids(spark, cloud, monkeypatch):
     assert {(r["id"], r["other_id"]) for r in plain} == {(r["id"], r["other_id"]) for r in grid}
 
 
+@pytest.mark.parametrize("shard_rows", [10**9, 700])
+def test_two_levels_shards_and_hot_vectors(spark, cloud, monkeypatch, shard_rows):
+    monkeypatch.setattr(vi, "FLAT_PARTS", 2)
+    monkeypatch.setattr(vi, "ROWS_PER_PART", 100)
+    monkeypatch.setattr(vi, "SHARD_ROWS", shard_rows)
+    for module in (common, neighbours, components):
+        monkeypatch.setattr(module, "hot_bound", lambda total: 8)
+    sims = unit(cloud) @ unit(cloud).T
+    got = {(r["id"], r["other_id"]) for r in neighbours.most_similar(table(spark, cloud), "image_id", "feature_vector", DIMS, 10, probes=12, least=0.98, margin=4.0).collect()}
+    for i in range(len(sims)):
+        want = {j for j in np.flatnonzero(sims[i] >= 0.98) if j != i}
+        have = {b for a, b in got if a == i}
+        assert len(have) == 10 if len(want) > 10 else have == want
+    label = groups_by_hand(unit(cloud), 0.05)
+    want = {i for i, _ in cloud[0] if label.count(label[i]) >= 10}
+    people, _ = varied_subset.lookalike_groups(table(spark, cloud), "image_id", "feature_vector", DIMS, 0.05, margin=4.0)
+    assert {r["id"] for r in varied_subset.large_groups(people, 10).collect()} == want
+
+
 def groups_by_hand(m, distance):
     n, label = len(m), list(range(len(m)))
     near = 1 - m @ m.T < distance
