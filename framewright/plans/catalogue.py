@@ -51,7 +51,7 @@ def triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captions, spread over the cores: their rules are many patterns a row."""
-    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "trigger_word", "source"), "doc_id")
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "trigger_word", "source"))
 
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ def caption_failed_sample(spark, sf_dir):
 
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct attempts with trigger, lead, cleaned text and audit."""
-    rows = spread(read_table(spark, sf_dir, "caption_attempts").select("attempt_id", "image_id", "attempt", "content"), "attempt_id").distinct()
+    rows = spread(read_table(spark, sf_dir, "caption_attempts").select("attempt_id", "image_id", "attempt", "content")).distinct()
     rows = rows.join(triggers(spark, sf_dir), "image_id", "left").withColumn("trigger", F.coalesce("trigger_word", F.lit("subject")))
     rows = rows.withColumn("lead", text.lead(F.col("trigger"), F.col("composition")))
     rows = rows.withColumn("clean", text.cleaned(F.col("content"), F.col("trigger"), F.col("lead")))

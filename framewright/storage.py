@@ -42,11 +42,12 @@ def materialize(df: DataFrame, name: str, by: list[str] | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` in enough partitions to keep all cores busy with costly work per row.
 
-    A file of few row groups is read by few tasks; its rows are then spread by a
-    hash of ``key``. An input that is split finely enough is left as it is.
+    A file of few row groups is read by few tasks; its rows are then dealt out in turn (or by
+    a hash of ``keys``, if given), whatever they hold, so that no value is a hot one. An input
+    that is split finely enough is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(3 * cores, key)
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(3 * cores, *keys)
