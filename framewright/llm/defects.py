@@ -423,4 +423,4 @@ def broken_pairs(attempts: DataFrame) -> DataFrame:
                     kinds.append(kind)
             yield pa.RecordBatch.from_pydict({"attempt_id": pa.array(ids, pa.int64()), "defect": pa.array(kinds, pa.string())})
 
-    return spread(rows, "attempt_id").mapInArrow(run, schema).groupBy("attempt_id").agg(F.min("defect").alias("defect"))
+    return spread(rows).mapInArrow(run, schema).groupBy("attempt_id").agg(F.min("defect").alias("defect"))

@@ -58,7 +58,7 @@ def document_frequency(documents: DataFrame, shingles: set[str]) -> dict[str, in
                 counts.update(wanted.intersection(shingles_of(words_of(text.as_py()))))
         yield pa.RecordBatch.from_pydict({"shingle": list(counts), "n": pa.array(counts.values(), pa.int64())})
 
-    partial = spread(documents.select("text").where("text is not null"), "text").mapInArrow(run, "shingle string, n long")
+    partial = spread(documents.select("text").where("text is not null")).mapInArrow(run, "shingle string, n long")
     return {r["shingle"]: r["n"] for r in partial.groupBy("shingle").agg(F.sum("n").alias("n")).toLocalIterator()}
 
 
@@ -95,7 +95,7 @@ def _leaks_of_block(documents: DataFrame, items: dict[int, list[str]], run_words
                 found += hits
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(docs, pa.int64()), "item_id": pa.array(found, pa.int64())})
 
-    rows = spread(documents.where("doc_id is not null and text is not null"), "doc_id").mapInArrow(run, "doc_id long, item_id long")
+    rows = spread(documents.where("doc_id is not null and text is not null")).mapInArrow(run, "doc_id long, item_id long")
     return rows.distinct()
 
 

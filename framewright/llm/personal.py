@@ -29,36 +29,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.storage import spread
+from framewright.storage import materialize, spread
 
 KINDS = ["name", "email", "phone", "identity_number", "street_address"]
 HASH_SIZE = 1 << 15
-#: Longest entity in characters; longer matches of the forms are no candidates.
-MAX_SPAN = 120
-#: Names read from the list at most, and words learned from the corpus at most.
-MAX_LISTED = 500_000
-MAX_LEARNED = 200_000
+#: Longest entity in characters, the bound of the dynamic programming. Mail addresses have at most 320, phone numbers 15 digits.
+MAX_SPAN = 1000
+#: Names read from the list, and words learned from the corpus, that are broadcast at once.
+LEXICON_WORDS = 500_000
 
 # ---- forms -------------------------------------------------------------------------------------
 
 _AT = r"(?:@|\s{0,2}[\[(]\s?at\s?[\])]\s{0,2}|\s{1,2}at\s{1,2})"
 _DOT = r"(?:\.|\s{0,2}[\[(]\s?dot\s?[\])]\s{0,2}|\s{1,2}dot\s{1,2})"
-_EMAIL = re.compile(rf"(?<![\w.+-])[\w][\w.+-]{{0,60}}{_AT}[\w-]{{1,40}}(?:{_DOT}[\w-]{{1,30}}){{1,4}}", re.I)
-_DIGITS = re.compile(r"(?<![\w.,:/@+-])(?:\+\s?|\()?\d+(?:(?:[  .\-/]|\)[  ]?|[  ]\()\d+){0,7}(?![\w@])")
-_IDENTITY = re.compile(r"(?<![\w.+@-])(?:[A-Z]{1,2}[ -]?)?\d{2,9}(?:[ .\-]\d{2,4}){0,3}(?:[ -]?[A-Z])?(?![\w@])", re.I)
+_EMAIL = re.compile(rf"(?<![\w.+-])\w[\w.+-]*{_AT}[\w-]+(?:{_DOT}[\w-]+)+", re.I)
+_DIGITS = re.compile(r"(?<![\w.,:/@+-])(?:\+\s?|\()?\d+(?:(?:[  .\-/]|\)[  ]?|[  ]\()\d+)*(?![\w@])")
+# Letters belong to a number if they touch it or a hyphen ties them to it; behind a blank only in capitals, or in pairs as below.
+_IDENTITY = [
+    re.compile(r"(?<![\w.+@-])(?:[A-Z]{1,2}-?)?\d{2,9}(?:[ .\-]\d{2,4}){0,3}(?:-?[A-Z])?(?![\w@])", re.I),
+    re.compile(r"(?<![\w.+@-])[A-Z]{2}(?:[ ]\d{2}){3}[ ][A-Z](?![\w@])", re.I),
+    re.compile(r"(?<![\w.+@-])\d{7,8}[ ][A-Z](?![\w@])"),
+]
 _STREETS = r"street|st|avenue|ave|road|rd|lane|ln|court|ct|terrace|mews|boulevard|blvd|drive|way|square|close|crescent|row|place|parkway|highway"
 _S = r"[ \t\xa0]{1,3}"
 _W = r"(?:[^\W\d_][\w'’-]*|[^\W\d_]{1,3}\.)"
 _NUM = r"\d{1,4}(?:[ ]?[a-z])?(?:[ ]?[-–/][ ]?\d{1,4}[a-z]?)?"
+_WIDE = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Court|Terrace|Mews|Boulevard|Blvd|Drive|Way|Square|Close|Crescent|Row|Place|Parkway|Highway|Grove|Gardens|Walk|Alley|Trail|Circle|Plaza|Wharf|Embankment|Parade|Rise"
 _ADDRESS = [
     ("en", re.compile(rf"(?<![\w.,-]){_NUM},?{_S}(?:{_W}{_S}){{1,3}}?(?:(?:st|ave|rd|ln|ct|blvd)\.|(?:{_STREETS})\b(?:{_S}(?:{_STREETS})\b)?)", re.I)),
+    # any number of words and more kinds of street where all of them are capitalised
+    ("en_cap", re.compile(rf"(?<![\w.,-])(?:{_NUM}),?{_S}(?:[A-ZÀ-Þ][\w'’.-]*{_S})+?(?:(?:St|Ave|Rd|Ln|Ct|Blvd|ST|AVE|RD|LN|CT|BLVD)\.|(?:{_WIDE}|{_WIDE.upper()})\b)")),
     ("en_after", re.compile(rf"(?<![\w-])(?:[A-Z]{_W}{_S}){{1,3}}(?:{_STREETS})\.?,?{_S}(?:no\.?\s?)?\d{{1,4}}[a-z]?\b", re.I)),
     ("de", re.compile(rf"(?<![\w-])[\w.'’-]*(?:stra(?:ß|ss)e|str\.?|weg|gasse|allee|platz|damm|ufer|ring){_S}\d{{1,4}}(?:\s?[a-z])?(?!\w)", re.I)),
+    ("de_at", re.compile(rf"(?<![\w-])(?:Am|Im|Zum|Zur|Beim|(?:An|In|Auf|Unter|Hinter|Vor|Bei)[ ]de[nmr]){_S}(?:[A-ZÄÖÜ][\w-]*e[nmr]{_S})?[A-ZÄÖÜ]?[\wäöüß-]*(?:[Mm]arkt|[Gg]raben|[Tt]or|[Bb]ach|[Bb]erg|[Kk]irche|[Pp]ark|[Hh]of|[Ww]all|[Ss]ee|[Ww]ald|[Aa]nger|[Bb]runnen|[Dd]om|[Ff]eld|[Ss]teig|[Ll]inden|[Mm]ühle|[Aa]ue|[Ww]iese)n?{_S}\d{{1,4}}(?:\s?[a-z])?(?!\w)")),
     ("es", re.compile(rf"(?<![\w-])(?:calle|c/|avenida|avda\.?|paseo|plaza|camino|via|viale|corso)[ \t\xa0]{{0,3}}(?:de{_S})?(?:{_W}{_S}){{0,3}}?{_W},?{_S}\d{{1,4}}\b", re.I)),
     ("fr", re.compile(rf"(?<![\w.,-])\d{{1,4}}(?:\s?(?:bis|ter))?,?{_S}(?:rue|avenue|boulevard|chemin|place|quai|allée|impasse|cours){_S}(?:de\s|du\s|des\s|d['’])?(?:la\s)?{_W}(?:[ ](?-i:[A-Z])[\w'’-]*)?", re.I)),
 ]
 # What a form cannot do without, looked for first where the form itself is slow.
 _NEEDS = {
+    "en_cap": re.compile(rf"\d,?{_S}[A-ZÀ-Þ]"),
     "en_after": re.compile(rf"\b(?:{_STREETS})\.?,?{_S}(?:no\.?\s?)?\d", re.I),
     "de": re.compile(rf"(?:stra(?:ß|ss)e|str\.?|weg|gasse|allee|platz|damm|ufer|ring){_S}\d", re.I),
 }
@@ -79,6 +88,16 @@ class Lexicon:
     given: dict[str, str] = field(default_factory=dict)
     family: dict[str, str] = field(default_factory=dict)
 
+    @staticmethod
+    def of(rows: list) -> "Lexicon":
+        """From (role, word, status) rows; a listed word stays listed if it is learned as well."""
+        out = Lexicon({}, {})
+        for role, word, status in rows or []:
+            words = out.given if role == "g" else out.family
+            if words.get(word) != LISTED:
+                words[word] = status
+        return out
+
     def given_status(self, word: str) -> str:
         return self.given.get(word, UNKNOWN)
 
@@ -133,7 +152,7 @@ def _number_features(text: str, kind: int, start: int, end: int) -> list[str]:
     shape = _shape(s)
     return [
         f"shape {shape}", f"lens {'-'.join(str(len(g)) for g in groups)}", f"digits {min(digits, 16)}", f"groups {min(len(groups), 6)}", f"first {s[0] if not s[0].isdigit() else '9'}",
-        f"zero {groups[0][0] == '0' if groups else 0}", f"nine {groups[0][0] == '9' if groups else 0} {digits}", f"seps {''.join(sorted(set(re.sub(r'[0-9A]', '', shape))))}", f"longest {max(map(len, groups), default=0)}", f"letters {'A' in shape}",
+        f"zero {groups[0][0] == '0' if groups else 0}", f"seps {''.join(sorted(set(re.sub(r'[0-9A]', '', shape))))}", f"longest {max(map(len, groups), default=0)}", f"letters {'A' in shape}",
     ]
 
 
@@ -197,31 +216,34 @@ def _repaired(word: str) -> str:
 _GIVEN_BITS = ["al", "ber", "cor", "da", "el", "fi", "gre", "ha", "is", "jo", "ka", "lu", "ma", "no", "ol", "pe", "ru", "sa", "te", "vi", "wil", "zo"]
 _GIVEN_ENDS = ["na", "rik", "la", "ne", "ton", "mira", "dan", "ia", "ette", "bert", "sine", "o"]
 _FAMILY_ENDS = ["man", "berg", "field", "ski", "son", "ova", "ley", "ini", "ez", "aud", "ström", "mann", "well", "ker", "dorf", "ard"]
-_STREET_NAMES = ["Maple", "Harbour", "King's", "Church", "Long Meadow", "Station", "Oak", "Silver Birch", "North Quay", "St. Mary", "Victoria", "Weaver", "Ferry", "Cedar Grove", "Old Mill"]
+_STREET_NAMES = ["Walnut", "Chapel", "Queen's", "Abbey", "Green Lion", "Market", "Elm", "Red Barn", "South Gate", "St. John", "Albert", "Potter", "Bridge", "Orchard", "New Bridge", "Saint Anne Hill", "Little West Park", "Upper Stone Cross"]
+# All sentences are written for this generator. {n} name, {f} family name, {e} email, {p} phone, {i} identity number, {a} {d} {s} {r} addresses, {v} verb,
+# {G} {g} listed given name as a plain word, {U} invented capitalised word, {w} plain or invented word, {C} letter, {999} digits.
 _NAME_SLOTS = [
-    "Shot by {n} for the autumn set.", "Model release signed by {n} on paper.", "Makeup by {n}, hair by {n}.", "Contact {n}, {e}, for raw files.", "Signed {n} <{e}>", "ask {n} about the missing roll",
-    "Please ask {n} for the files.", "Participant: {n}; tel. {p}; document {i}.", "Number on file {i}, holder {n}.", "A badge on the chest reads {n}.", "Frame 12 was sent back on request of {n}.",
-    "Invoice goes to {n}, {a}.", "The label on the parcel reads '{n}, {a}'.", "Delivery note: {a}; ring {p}; ask for {n}.", "{n} sits in frame nine and wants a copy.", "{n} leans on the wall in a market hall, and the left hand holds a cup.",
-    "In a brick yard {n} wears a blue linen coat next to a kiosk.", "{n} agreed to be shown with a scarf.", "Ms. {f} approved frames 3 to 9.", "Dr. {n} agreed to be named.", "Mr {f} called twice.", "Mrs. {f} asked for prints.", "The blur is strong, so {n} reshoots it at {a}.",
-    "Fotografin: {n}, erreichbar unter {p}.", "Freigabe von {n} liegt vor.", "Herr {f} hat zugestimmt.", "Frau {f} ist einverstanden.", "Accord signé par {n}.", "Photo de {n}, joignable au {p}.", "Permiso firmado por {n}.", "Foto de {n}, teléfono {p}.",
-    "{n} stands with weight on one leg in a corridor.", "{n} walks toward the camera in a market hall.", "{n} turns back over one shoulder.", "{n} perches on a stool near the window.", "{n} {v} near the door.", "{n} {v} against a low fence, eyes to the side.", "Then {n} {v} in a doorway.", "thanks to {n} for the session", "Consent of {n} is on file.", "Booked by {n} last week.",
+    "Photographer: {n}", "Stylist {n}, assistant {n}", "Hair and make-up: {n}", "Retouching was done by {n}", "Credit goes to {n} for the light.", "Best regards,\n{n}", "Signed: {n}", "Signed, {n}", "Consent was given by {n} on Tuesday.", "Waiver from {n} received.",
+    "{n} signed the waiver.", "{n} called about the contract.", "{n} wrote that the colours are wrong.", "{n} would like two copies.", "{n} said yes to all of it.", "I spoke with {n} about the dates.", "We thank {n} for the help.", "We thank {n}", "We owe {n} a dinner.", "The portrait of {n} came out dark.", "a portrait of {n}, seated",
+    "as {n} told us, the roll is lost", "tell {n} that the files are ready", "send everything to {n}, {a}", "{n}, {a}", "Guardian: {n}, phone {p}", "Name: {n}\nPhone: {p}\nE-mail: {e}", "Model {n} ({p})", "{n} <{e}>", "From: {n} <{e}>", "invoice for {n}, {a}", "{n} lives at {a}.", "{n} can be reached on {p} or {e}.",
+    "{n} ({e}) wants the raw files", "The name {n} is on the back of the print.", "Booking for {n}; document {i}; {p}.", "Mr. {f} came by at ten.", "Mrs {f} rang the bell.", "Ms {f} wants a refund.", "Ms. {f} agreed to it.", "Dr. {f} said yes.", "Dr. {n} agreed.", "Prof. {f} lent us the hall.", "Miss {f} was late.", "according to Dr {f}, fine", "the name tag says {n}", "a mug with the words '{n}' on it", "photo by {n}", "edited by {n} and {n}",
+    "{n} and {n} share the frame.", "{n} {v} beside a window.", "{n} {v} with a cup in one hand.", "{n} {v} on a bench, arms folded.", "{n} {v}, a lamp behind.", "{n} is seen from below, {w} and {w}.", "A man, {n}, {v} at the door.", "In the doorway {n} {v} and laughs.", "Here {n} wears a wool coat.", "On the left {n} holds a lamp.", "The sitter is {n}.", "The sitter, {n}, is over eighteen.", "Under the {w} {n} {v} alone.",
+    "Holder of document {i}: {n}.", "passport {i}, issued to {n}", "This one of {n} is soft.", "Removed at the wish of {n}.", "forwarded by {n} yesterday", "Question for {n}: which frame?", "{w} {w} {n} {w} {w}.", "{w} {n}, {w}.", "{w}: {n}; {w}", "then {n} {w} the {w}", "{w} by {n} in {w}", "{w} for {n}.",
+    "Unterschrieben von {n}.", "{n} hat unterschrieben.", "Kontakt: {n}, Telefon {p}", "Herr {f} kommt um zehn.", "Frau {f} möchte Abzüge.", "Das Bild zeigt {n}.", "Danke an {n} für das Licht.", "Model: {n}, wohnhaft {d}", "Mit freundlichen Grüßen\n{n}", "Die Erlaubnis hat {n} erteilt.",
+    "Signé par {n}.", "Merci à {n} pour la lumière.", "Contact : {n}, tél. {p}", "Madame {f} veut deux tirages.", "Sur la photo, {n} sourit.", "{n} est d'accord.", "Firmado por {n}.", "Gracias a {n} por la luz.", "Contacto: {n}, tel. {p}", "La señora {f} llamó ayer.", "Sr. {f} vino a las diez.", "En la foto, {n} sonríe.", "{n} está de acuerdo.",
 ]
 _OTHER_SLOTS = [
-    "Call {p} or write {e}.", "Reach the studio at {p} before noon.", "my number is {p} text me", "A van with {p} painted on the side blocks the gate.", "A whiteboard in the background shows {p}.", "Mobile {p}", "Tel. {p}",
-    "Questions go to {e}.", "cc {e}, {e}", "mailto:{e}", "Bitte an {e} schicken.", "Écrire à {e}.", "Escribir a {e}.", "reply to {e} please",
-    "SSN on the form: {i} (blur it).", "Passport copy shows {i}, age fine.", "tax no. {i}", "ID checked: {i}.", "Ausweis-Nr. {i} wurde geprüft.", "DNI {i} comprobado.", "Pièce d'identité n° {i} vérifiée.", "Licence {i} was valid.", "ID: {i}",
-    "Return the prints to {a}.", "We met in front of {a} under an even light.", "The flat we used is at {a}, ring twice.", "the lady at {a} lent us a hat", "Abholung in der {d}.", "Recogida en {s}.", "Retrait au {r}.", "Studio address: {a}",
+    "Phone: {p}", "phone {p}", "ring {p} after six", "text me on {p}", "or call {p}.", "Fax {p}", "his mobile is {p}", "the number {p} is out of order", "a sign with {p} on it", "a poster says call {p}", "Tel {p}", "tel: {p}", "a van with {p} on the door", "{p} is painted on the wall", "{w} {w} {p} {w}", "{w}: {p}", "Telefon: {p}", "Rückruf unter {p}", "tél. {p}", "appelez le {p}", "llame al {p}", "teléfono {p}", "on {p}, or by mail: {e}",
+    "Email: {e}", "mail {e} for access", "write to {e}", "send it to {e} by noon", "contact {e} or {e}", "{e} bounced", "my address is {e}", "{w} {e} {w}", "{w}: {e}", "E-Mail: {e}", "per Mail an {e}", "courriel : {e}", "correo: {e}", "you can find me under {e}", "mailto:{e}",
+    "Social security number {i}", "SSN {i}", "ssn: {i}", "my SSN is {i}.", "Passport no. {i}", "passport {i}", "his passport is {i}", "passport number {i} was visible", "National ID {i}", "ID card {i}", "the id is {i}", "Tax ID {i}", "tax number {i}", "driving licence {i}", "licence no {i}", "a card with {i} on it", "the document {i} was shown", "{w} number {i}, {w}", "identity number: {i}", "ID no. {i}, blurred later", "Personalausweis {i}", "Steuernummer {i}", "Ausweis: {i}", "carte d'identité {i}", "passeport n° {i}", "DNI {i}", "pasaporte {i}", "NIF: {i}", "permis {i}", "Führerschein {i} liegt vor",
+    "Address: {a}", "ship to {a}", "the studio is at {a}.", "come to {a} at nine", "we shot at {a}, second floor", "deliver to {a}, please", "she lives at {a}", "in front of {a} we waited", "the house at {a} burned", "pick-up: {a}", "{w} {w} {a} {w}", "{w} to {a}.", "Adresse: {d}", "wir treffen uns in der {d}", "Studio: {d}", "geliefert an {d}", "Treffen: {d}.", "dirección: {s}", "el estudio está en {s}", "entrega en {s}", "adresse : {r}", "rendez-vous au {r}", "livrer au {r}",
 ]
 _DECOYS = [
-    "The Amber Hill preset makes everything teal, do not use it.", "The Nimbus Arc lens was soft at the edge.", "Camera serial SN-{9999}-{999}-{9999}, lens 24-70mm.", "Seed {9999999999} gave the cleanest hands at step 00{9999}.", "Run 2023-11-0{999} used batch 4 and rate 0.0004.",
-    "EXIF says 2019:06:14 10:2{9}:31 but the folder is newer.", "Job queue: {99}/120 done, {99}.8 GB free, port 8{999}, version 10.0.{9}.12.", "Invoice total 1.2{99},00 for roll 12 of the {G} Hall set.", "Crop box 3{99}, 555, 1{999}, 1042 was clipped.", "see file img_{9999}@2x.png.",
-    "Posted as @{g}.frames with the tag #set{99}.", "Exported at 1024x1536 from a 5{999}x3264 original, 1/250 s at f/2.8, ISO 400.", "{G} and {G} gels on the key light, {G} on the fill.", "{G} Ribbon is the name of the backdrop, {G} Coast Beige the wall paint.", "The {g} parka is linen, loose at the sleeves.",
-    "We lost {99} minutes to rain in Lower Quay, then finished with {g} light.", "Baker Street market was closed, so we shot the street set in Port Vale.", "The Corvin Film {99} sat on a tripod in the Upper Dale market hall.", "Mail the prints on Monday; the box at the door is number {99}.", "1e-05 0x1F 3.14159265358979",
-    "Counted {99} close-ups, {99} waist-ups and {99} full-body frames.", "Frames {99} to {99} may be used for training.", "Rule of thumb: {99} images with light from a street lamp and the rest outdoors.", "A good caption has between {99} and {99} words.", "We met at noon dot by dot, at the gate.", "Order {9999999} was paid, batch {9999}-{9999}.",
-    "Look at the wall. It is at the left.", "The {G} Avenue backdrop is new, {99} copies sold.", "The Pell and {G} preset makes everything sand.", "Temperature 0.{9999999}", "loss {9}.{99999999} after {9999} steps", "Build {9999}.{99}.{99}.{999}", "Lower Quay, Port Vale and Saint Orra are near.", "{G}, {g} and navy are the colours of the set.", "Write '{g}' for the colour.", "ISBN-like code {999}-{9}-{99}-{999999}-{9} on the shelf.",
-    "{G} Studio opens at nine.", "A {w} of {w} {w}, {w} {w} and the {w} of {w} {w}.", "Look for {w} {w} first, then {w} {w} on the {w}.", "The {w} {w} the {w} by {w}, then {w} {w} toward the {w}.", "Note: {w} {w}, three {w} {w}; a {w} of {w} {w} unless it {w} both {w}.",
-    "Pick it up at flat {9}{C}. Framed from below.", "Recogida en {s}, {9}.º {C}. Foto de día.", "{G} Street market was closed.",
-    "Behind the {g} curtain stand {99} chairs.", "He wears an {g} coat over a {g} vest, near Copper Hall.",
+    "Order {9999999} shipped in {99} boxes.", "Ticket #{99999} closed.", "seed {9999999999}, steps {99}, cfg {9}.{9}", "random seed {999999999}", "IMG_{9999}.jpg, DSC{99999}.png", "file_{99}@{9}x.webp", "icon@{9}x.png in the folder", "{99}.{99}.20{99} {99}:{99}", "20{99}-0{9}-1{9}T1{9}:{99}:{99}", "20{99}:1{9}:0{9} 0{9}:{99}:{99} in the header", "20{99}-0{9}-0{999} used batch {99}", "f/{9}.{9}, 1/{999} s, ISO {999}", "{99} mm lens at {999} cm", "serial number {999}-{9999}-{9999}", "body no. {C}{C}-{9999}-{999}-{9999}", "Serial {C}{C}{99999999} on the body", "model no. {C}{9999}-{99}",
+    "lot {9999}-{9999}", "batch {99}-{9999}, shelf {9}", "checksum {99999999}", "lr 0.000{9}, batch {99}, epoch {99}", "loss 0.{99999999} at step {9999}", "step 00{9999} of {99999}", "{9}.{99999999} on the dial", "{9999}x{9999} px, {99}.{9} MB", "10.{9}.{99}.{99} port {9999}", "version {9}.{99}.{9}", "build {9999}.{9}.{9999}.{99}", "price {9}.{999},{99} EUR", "Total: {9999}.{99} for roll {99}", "{99} of {999} frames kept", "{99} % rejected", "frames {99} to {99} are fine", "{99} close-ups and {99} others", "room {999}, {99} chairs", "page {99}, line {9}", "colour #{9}{C}{9}{C}{99}",
+    "barcode {9} {999999} {999999}", "ISBN 978-{9}-{99}-{999999}-{9}", "ISBN {999}-{9}-{999}-{99999}-{9}", "invoice {9999}-{999}", "box {999}, {99}, {999}, {999}", "boxes {9999} {999} {999} {9999}", "{9}e-0{9} and 0x{9}F", "Queue {99}/{999}, {99}.{9} GB left", "user {99999}, group {9999}", "posted by @{g}_{99}", "@{g}.{w} #{w}{99}", "parcel {9999} {9999} {9999} {9999}", "account balance {9999999}", "{w} {9999999} {w}", "{w} {99} {w}, {999} {w}", "the answer is {99}.{9999999}",
+    "The {G} curtain is heavy.", "{G} green, {G} grey and {G} blue swatches", "a {g} scarf on a {g} chair", "The {G} preset is too warm.", "{G} lens, {G} filter.", "the {G} Tower in the background", "{G} Street fair", "{G} Lake at dawn", "{G} & Sons tripod", "Team {G} lunch", "at the {G} Hotel", "{G} Road was closed.", "in {g} tones", "{G} White and {G} Sand are the paints.", "{G} Studio has two rooms.", "Try the {G} look, {G} light and {G} tint.", "{G}, {g} and rust",
+    "the {U} {U} lens", "The {U} {U} preset is warm.", "{U} {U} is the name of the cloth.", "near {U} {U}", "in {U} {U} we stopped", "a {U} {U} bag", "the {U} {U} market", "the {U} and {U} kit", "a {U} {99} camera", "The {U} Film {99} is grainy.", "the market in {U} {U}", "on the way to {U} {U}", "{U} Hall was empty", "{U} Bay, {U} Hill and {U} Point are far.", "made in {U}", "{U} {U} opens at ten.", "Lens: {U} {U} {99} mm", "Location: {U} {U}, {U}", "the {U} River and the {U} Bridge",
+    "{99} people on the street", "{9} lanes of the road", "{99} steps to the court", "a street lamp and {99} doors", "{9} boats near the quay", "the road at number {9} is closed", "Write {99} words on the square format.", "Look at the {w} dot on the {w}.", "We met at the gate at ten.", "Stay at the {w}. It is {w}.", "flat {9}{C}, top bell", "{9}th floor, door {C}",
+    "A {w} of {w} {w}, {w} {w} and the {w} of {w} {w}.", "Look for {w} {w} first, then {w} {w} on the {w}.", "The {w} {w} the {w} by {w}, then {w} {w} toward the {w}.", "Note: {w} {w}, three {w} {w}; a {w} of {w} {w} unless it {w} both {w}.", "She {v} in the {w}, {w} {w}.", "Soft light, dark {w}, hard {w}.", "Close-Up, Medium Shot, Full Body", "Monday Morning: {w} {w}", "Rule {9}: Never {w} the {w}.", "Good Caption, Bad Caption", "Portrait, Frontal, Indoor; {w}, {w}", "Warm Light. Cold Shadow.", "Tags: {w}, {w}, {w}",
+    "Die Kamera steht am Fenster, Blatt {99}.", "Im Ordner {99} liegen {999} Bilder.", "Am Montag {99} Uhr, Raum {9}.", "In der Mappe {99} fehlt ein Blatt.", "Rote Jacke, blaue Hose, Seite {99}.", "Das Licht kommt von links.", "Eine Frau {v} am Markt.", "La lumière vient de gauche, page {99}.", "Une femme en veste {g}, plan {99}.", "La luz viene de la izquierda, hoja {99}.", "Una mujer con abrigo {g}, toma {9}.", "En la calle hay {99} sillas.", "Dans la rue, {99} chaises.", "Unter dem Tisch liegen {99} Kabel.",
 ]
 
 
@@ -311,22 +333,25 @@ class Sentences:
 
     def identity(self) -> str:
         letter = self.rng.choice("ABFGKMQRTWYZ")
-        shape = self.rng.choice(["999-99-9999", "999 99 9999", "999999999", f"99999999-{letter}", f"99999999{letter}", f"Z{letter}9999999", f"{letter}-999.999.999", f"XX 99 99 99 {letter}", f"{letter}99999999", "X9999999" + letter])
+        shape = self.rng.choice(["999-99-9999", "999 99 9999", "999999999", f"99999999-{letter}", f"99999999{letter}", f"99999999 {letter}", f"Z{letter}9999999", f"{letter}-999.999.999", f"XX 99 99 99 {letter}", f"XX999999{letter}", f"{letter}99999999", f"X9999999{letter}", f"{letter}{letter}-9999999"])
         text = _digits(self.rng, shape)
-        if re.match(r"\d{3}[- ]?\d\d", text) or re.match(r"\d{8}", text):
-            text = "9" + text[1:] if self.rng.random() < 0.9 else text
-        return text
+        return text.lower() if self.rng.random() < 0.05 else text
 
     def address(self) -> str:
         r = self.rng
         number = r.choice([str(r.randint(1, 240)), f"{r.randint(1, 240)}{r.choice('ABC')}", f"{(k := r.randint(1, 200))}-{k + 2}"])
-        text = f"{number} {r.choice(_STREET_NAMES)} {r.choice('Street St. Avenue Ave Road Rd Lane Court Terrace Mews Blvd Boulevard'.split())}"
+        text = f"{number} {r.choice(_STREET_NAMES)} {r.choice('Street Street St. Avenue Ave Road Road Rd Lane Court Terrace Mews Blvd Boulevard Drive Square Crescent Grove Gardens'.split())}"
+        if r.random() < 0.12:
+            text = f"{number} {self._family()} {r.choice('Street Road Avenue Lane Grove Walk'.split())}"
         k = r.random()
         return text.upper() if k < 0.12 else text.lower() if k < 0.2 else text
 
     def german(self) -> str:
         r = self.rng
-        return r.choice(["Linden", "Bahnhof", "Garten", "Ufer", "St.", "Alt-Markt"]) + r.choice(["straße", "str.", "weg", "-Allee", "gasse", "platz"]) + f" {r.randint(1, 240)}" + r.choice(["", "", "a"])
+        if r.random() < 0.15:
+            return r.choice(["Am Alten Markt", "Am Graben", "Unter den Linden", "An der Kirche", "Am Stadtpark", "Im Hof", "Hinter dem Tor", "Am Mühlbach"]) + f" {r.randint(1, 240)}" + r.choice(["", "", "b"])
+        stem = r.choice(["Eichen", "Schul", "Wiesen", "Kirch", "Neu", "Tal"]) if r.random() < 0.6 else self._family()
+        return stem + r.choice(["straße", "str.", "weg", "-Allee", "gasse", "platz"]) + f" {r.randint(1, 240)}" + r.choice(["", "", "a"])
 
     def spanish(self) -> str:
         r = self.rng
@@ -353,6 +378,8 @@ class Sentences:
                     value = r.choice(_VERBS)
                 elif key == "w":
                     value = r.choice(_THINGS) if r.random() < 0.5 else self._given().lower()
+                elif key == "U":
+                    value = r.choice([self._given, self._family])()
                 elif key == "C":
                     value = r.choice("ABCDEFGH")
                 elif key.upper() == "G":
@@ -361,8 +388,8 @@ class Sentences:
                 else:
                     value = _digits(r, key)
                 text += value
-            else:
-                text += piece
+            else:  # some words are invented, so that no sentence is learned by heart
+                text += re.sub(r"\b[a-zà-ÿ]{3,}\b", lambda m: self._given().lower() if m.group() not in TITLES and r.random() < 0.12 else m.group(), piece)
         return text, gold
 
     def document(self) -> tuple[str, set[tuple[int, int, int]]]:
@@ -378,7 +405,7 @@ class Sentences:
         return text, gold
 
 
-def train_field(names: list[tuple[str, str]], documents: int = 5000, seed: int = 13) -> np.ndarray:
+def train_field(names: list[tuple[str, str]], documents: int = 8000, seed: int = 13) -> np.ndarray:
     """Weights from generated documents. Where no form ends as the entity does, the one that ends nearest stands for it."""
     maker = Sentences(names, seed)
     lexicon = maker.lexicon()
@@ -407,16 +434,19 @@ class Finder:
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
 
-    def segments(self, text: str) -> list[Segment]:
+    def segments(self, text: str, only_names: bool = False) -> list[Segment]:
         out: list[Segment] = []
+        if only_names:
+            self._names(out, text)
+            return out
         if "@" in text or "at" in text or "AT" in text:
             for m in _EMAIL.finditer(text):
                 self._add(out, text, m.start(), m.end(), 1, _email_features(text, m.start(), m.end()))
         for m in _DIGITS.finditer(text):
             self._numbers(out, text, m.start(), m.end(), 2)
-        for m in _IDENTITY.finditer(text):
-            if sum(c.isdigit() for c in m.group()) >= 6:
-                self._add(out, text, m.start(), m.end(), 3, _number_features(text, 3, m.start(), m.end()))
+        spans = {m.span() for form in _IDENTITY for m in form.finditer(text) if sum(c.isdigit() for c in m.group()) >= 6}
+        for a, b in sorted(spans):
+            self._add(out, text, a, b, 3, _number_features(text, 3, a, b))
         for form, pattern in _ADDRESS:
             if form in _NEEDS and not _NEEDS[form].search(text):
                 continue
@@ -435,15 +465,16 @@ class Finder:
     def _numbers(self, out: list[Segment], text: str, start: int, end: int, kind: int) -> None:
         """The whole run of digit groups, and its parts if it is long enough to hold two numbers."""
         groups = [(m.start() + start, m.end() + start) for m in re.finditer(r"[+(]?\d+\)?", text[start:end])]
-        total = sum(c.isdigit() for c in text[start:end])
-        if total < 7:
-            return
-        bounds = {(start, end)}
-        if total > 11:
-            bounds |= {(groups[i][0], groups[j][1]) for i in range(len(groups)) for j in range(i, len(groups))}
-        for a, b in bounds:
-            if 7 <= sum(c.isdigit() for c in text[a:b]) <= 15:
-                self._add(out, text, a, b, kind, _number_features(text, kind, a, b))
+        digits = [sum(c.isdigit() for c in text[a:b]) for a, b in groups]
+        bounds = {(start, end)} if 7 <= sum(digits) <= 15 else set()
+        for i in range(len(groups) if sum(digits) > 11 else 0):
+            j, total = i, 0
+            while j < len(groups) and (total := total + digits[j]) <= 15:
+                if total >= 7:
+                    bounds.add((groups[i][0], groups[j][1]))
+                j += 1
+        for a, b in sorted(bounds):
+            self._add(out, text, a, b, kind, _number_features(text, kind, a, b))
 
     def _names(self, out: list[Segment], text: str) -> None:
         lex, given, family = self.lexicon, self.lexicon.given, self.lexicon.family
@@ -608,40 +639,82 @@ def entities(text: str, finder: Finder, weights: np.ndarray) -> list[Segment]:
 # ---- operators ---------------------------------------------------------------------------------
 
 
-def listed_names(names: DataFrame) -> list[tuple[str, str]]:
-    """The list of names on the driver, after a check of its size; null names are left out."""
-    rows = names.select("given_name", "family_name").where("given_name is not null and family_name is not null").distinct().limit(MAX_LISTED + 1).collect()
-    if len(rows) > MAX_LISTED:
-        raise ValueError(f"more than {MAX_LISTED} listed names")
-    return sorted((r["given_name"], r["family_name"]) for r in rows)
+WORDS = "role string, word string, status string"
+#: Listed names that training sentences are made with, at most.
+TRAINING_NAMES = 20_000
+
+
+def listed_words(names: DataFrame) -> DataFrame:
+    """``role`` (g or f), ``word`` and ``status`` of the listed names, in lower case; null names are left out."""
+    rows = names.select("given_name", "family_name").where("given_name is not null and family_name is not null")
+    both = rows.select(F.lit("g").alias("role"), F.lower("given_name").alias("word")).unionByName(rows.select(F.lit("f").alias("role"), F.lower("family_name").alias("word")))
+    return both.distinct().select("role", "word", F.lit(LISTED).alias("status"))
+
+
+def training_names(names: DataFrame) -> list[tuple[str, str]]:
+    """The listed names, or as many as ``TRAINING_NAMES`` of them by the order of a hash."""
+    rows = names.select("given_name", "family_name").where("given_name is not null and family_name is not null").distinct()
+    few = rows.orderBy(F.xxhash64("given_name", "family_name"), "given_name", "family_name").limit(TRAINING_NAMES)
+    return sorted((r["given_name"], r["family_name"]) for r in few.collect())
+
+
+def _tokens(text: str) -> set[str]:
+    low = {_repaired(m.group()) for m in _TOKEN.finditer(text)}
+    return low | {part for w in low if "-" in w for part in w.split("-")}
+
+
+def with_known_words(documents: DataFrame, words: DataFrame) -> tuple[DataFrame, Lexicon | None]:
+    """``doc_id``, ``text`` and ``known``, spread over the cores, and the lexicon if it is small enough to broadcast.
+
+    A lexicon of more than ``LEXICON_WORDS`` words is joined with the documents' words instead,
+    and each document carries its own few in ``known``.
+    """
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    few = words.limit(LEXICON_WORDS + 1).collect()
+    if len(few) <= LEXICON_WORDS:
+        return spread(rows.withColumn("known", F.lit(None).cast(f"array<struct<{WORDS}>>"))), Lexicon.of([tuple(r) for r in few])
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows, "texts")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = sorted(_tokens(text.as_py()))
+                yield pa.RecordBatch.from_pydict({"row": pa.array([key] * len(found), pa.int64()), "word": pa.array(found, pa.string())})
+
+    used = spread(rows.select("row", "text").where("text is not null")).mapInArrow(split, "row long, word string")
+    own = used.join(words, "word").groupBy("row").agg(F.collect_list(F.struct("role", "word", "status")).alias("known"))
+    return rows.join(own, "row", "left").select("doc_id", "text", "known"), None
 
 
-def learned_lexicon(documents: DataFrame, listed: Lexicon, weights: np.ndarray, least_documents: int = 3) -> Lexicon:
-    """The lexicon with words that all documents together show to be names.
+def learned_words(documents: DataFrame, listed: DataFrame, weights: np.ndarray, least_documents: int = 3) -> DataFrame:
+    """Words that all documents together show to be names, as ``listed_words``.
 
     A first pass over the whole corpus scores every possible name whose words are
     both capitalised. A word joins as a given or family name if at least
     ``least_documents`` documents have it so with a probability of 0.8 or more, and
-    these are most of its capitalised uses beside another possible name word. Counts are summed on the executors;
-    the words that join are few, and checked to be at most ``MAX_LEARNED``.
+    these are most of its capitalised uses beside another possible name word. Counts are
+    summed on the executors. The words are a feature of the second pass only: there a name
+    is found wherever it occurs.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((listed, weights))
+    rows, lexicon = with_known_words(documents.where("text is not null"), listed)
+    shared = documents.sparkSession.sparkContext.broadcast((lexicon, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, w = shared.value
-        finder, sure, all_uses = Finder(lexicon), Counter(), Counter()
+        common, w = shared.value
+        sure, all_uses = Counter(), Counter()
         for batch in batches:
-            for value in batch.column(0):
-                text = value.as_py()
-                segments = finder.segments(text)
+            for value, known in zip(batch.column(0), batch.column(1)):
+                text, lexicon = value.as_py(), common or _own(known)
+                segments = Finder(lexicon).segments(text, only_names=True)
                 if not segments:
                     continue
                 scores = [float(w[s.features].sum()) for s in segments]
                 uses: dict[tuple[str, str], float] = {}
                 for s, p in zip(segments, marginals(segments, scores)):
-                    if s.kind == 0 and not text[s.start : s.end].isupper():  # in capitals any word looks like a name
-                        for role, word, known in (("g", s.words[0], lexicon.given), ("f", s.words[1], lexicon.family)):
-                            if word and word not in known and len(word) > 2:
+                    if not text[s.start : s.end].isupper():  # in capitals any word looks like a name
+                        for role, word, have in (("g", s.words[0], lexicon.given), ("f", s.words[1], lexicon.family)):
+                            if word and word not in have and len(word) > 2:
                                 uses[role, word] = max(p, uses.get((role, word), 0.0))
                 for key, p in uses.items():
                     all_uses[key] += 1
@@ -649,46 +722,47 @@ def learned_lexicon(documents: DataFrame, listed: Lexicon, weights: np.ndarray,
         keys = list(all_uses)
         yield pa.RecordBatch.from_pydict({"role": pa.array([k[0] for k in keys], pa.string()), "word": pa.array([k[1] for k in keys], pa.string()), "sure": pa.array([sure[k] for k in keys], pa.int64()), "uses": pa.array([all_uses[k] for k in keys], pa.int64())})
 
-    counts = spread(documents.select("text").where("text is not null"), "text").mapInArrow(run, "role string, word string, sure long, uses long").groupBy("role", "word").agg(F.sum("sure").alias("sure"), F.sum("uses").alias("uses"))
-    rows = counts.where((F.col("sure") >= least_documents) & (F.col("sure") * 2 >= F.col("uses"))).limit(MAX_LEARNED + 1).collect()
-    if len(rows) > MAX_LEARNED:
-        raise ValueError(f"more than {MAX_LEARNED} learned names")
-    given = {r["word"]: LEARNED for r in rows if r["role"] == "g"} | listed.given
-    family = {r["word"]: LEARNED for r in rows if r["role"] == "f"} | listed.family
-    return Lexicon(given, family)
+    counts = rows.select("text", "known").mapInArrow(run, "role string, word string, sure long, uses long").groupBy("role", "word").agg(F.sum("sure").alias("sure"), F.sum("uses").alias("uses"))
+    return counts.where((F.col("sure") >= least_documents) & (F.col("sure") * 2 >= F.col("uses"))).select("role", "word", F.lit(LEARNED).alias("status"))
+
 
+def _own(known: pa.Scalar) -> Lexicon:
+    return Lexicon.of([(k["role"], k["word"], k["status"]) for k in known.as_py() or []])
 
-def _model(documents: DataFrame, names: DataFrame) -> tuple[Lexicon, np.ndarray]:
-    listed = listed_names(names)
-    weights = train_field(listed)
-    lexicon = Lexicon({g.lower(): LISTED for g, _ in listed}, {f.lower(): LISTED for _, f in listed})
-    return learned_lexicon(documents, lexicon, weights), weights
+
+def _labelled(documents: DataFrame, names: DataFrame, work, schema: str) -> DataFrame:
+    """Applies ``work(key, text, entities or None for a null text)``, which gives rows, to all documents."""
+    weights = train_field(training_names(names))
+    listed = listed_words(names)
+    words = materialize(listed.unionByName(learned_words(documents, listed, weights)), "name-words")
+    rows, lexicon = with_known_words(documents, words)
+    shared = documents.sparkSession.sparkContext.broadcast((lexicon, weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, w = shared.value
+        finder = Finder(common) if common is not None else None
+        for batch in batches:
+            out = []
+            for key, value, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                text = value.as_py()
+                out += work(key, text, None if text is None else entities(text, finder or Finder(_own(known)), w))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=columns)
+
+    columns = [c.split()[0] for c in schema.split(", ")]
+    types = [{"long": pa.int64(), "string": pa.string(), "int": pa.int32()}[c.split()[1]] for c in schema.split(", ")]
+    return rows.mapInArrow(run, schema)
 
 
 def find_personal(documents: DataFrame, names: DataFrame) -> DataFrame:
     """``doc_id``, ``kind`` and ``start_pos`` (characters, from 1) of each item of personal information.
 
     ``documents`` has ``doc_id`` and ``text``, ``names`` (a list of known people, may be
-    empty) ``given_name`` and ``family_name``. Null, empty and blank texts have no
+    empty, of any length) ``given_name`` and ``family_name``. Null, empty and blank texts have no
     items, nor has a null id; texts are read whole; repeated rows count once; empty
     documents give no rows. Other columns are ignored.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(_model(documents, names))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, weights = shared.value
-        finder = Finder(lexicon)
-        for batch in batches:
-            docs, kinds, starts = [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for s in entities(text.as_py(), finder, weights):
-                    docs.append(key)
-                    kinds.append(KINDS[s.kind])
-                    starts.append(s.start + 1)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(docs, pa.int64()), "kind": pa.array(kinds, pa.string()), "start_pos": pa.array(starts, pa.int32())})
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    return spread(rows, "doc_id").mapInArrow(run, "doc_id long, kind string, start_pos int").distinct()
+    rows = documents.where("doc_id is not null and text is not null")
+    return _labelled(rows, names, lambda key, _, found: [(key, KINDS[s.kind], s.start + 1) for s in found], "doc_id long, kind string, start_pos int").distinct()
 
 
 def replace_entities(text: str, found: list[Segment]) -> str:
@@ -702,13 +776,4 @@ def replace_entities(text: str, found: list[Segment]) -> str:
 
 def redact_personal(documents: DataFrame, names: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` with typed placeholders; every row, a null text stays null."""
-    shared = documents.sparkSession.sparkContext.broadcast(_model(documents, names))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, weights = shared.value
-        finder = Finder(lexicon)
-        for batch in batches:
-            texts = [None if t is None else replace_entities(t, entities(t, finder, weights)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
-
-    return spread(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id").mapInArrow(run, "doc_id long, text string")
+    return _labelled(documents, names, lambda key, text, found: [(key, None if text is None else replace_entities(text, found))], "doc_id long, text string")

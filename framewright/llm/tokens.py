@@ -107,7 +107,7 @@ def encode_texts(table: DataFrame, key: str, text: str, rank_file: str) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["key", "ids"])
 
     kind = table.schema[key].dataType.simpleString()
-    return spread(table.select(F.col(key).alias("key"), F.col(text).alias("text")), "key").mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return spread(table.select(F.col(key).alias("key"), F.col(text).alias("text"))).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def decode_ids(ids: list[int], names: list[bytes]) -> str:

@@ -266,6 +266,37 @@ def test_recall_over_all_generated_names(field):
     assert hits / total > 0.95 and wrong / (hits + wrong) < 0.03
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Dr. Marie Curie agreed.", [("name", "Marie Curie")]), ("Mrs. Thatcher called.", [("name", "Thatcher")]), ("We thank Barack Obama", [("name", "Barack Obama")]),
+        ("The number is 219-09-9999 here", [("identity_number", "219-09-9999")]), ("the id is 533401234", [("identity_number", "533401234")]),
+        ("Meet at 10 Old Saint James Park Road today.", [("street_address", "10 Old Saint James Park Road")]),
+        ("Treffen: Am Alten Markt 12.", [("street_address", "Am Alten Markt 12")]),
+        ("Write to " + "a.long.part" * 7 + "@example.org now", [("email", "a.long.part" * 7 + "@example.org")]),
+    ],
+)
+def test_items_of_any_length_and_shape(field, text, want):
+    found = personal.entities(text, personal.Finder(field[0]), field[1])
+    assert [(personal.KINDS[s.kind], text[s.start : s.end]) for s in found] == want
+    assert [text.index(w) + 1 for _, w in want] == [s.start + 1 for s in found]
+
+
+def test_house_number_and_street_without_a_form_of_its_own(field):
+    found = personal.entities("She lives at 17 Elm Grove now", personal.Finder(field[0]), field[1])
+    assert [(s.kind, s.start) for s in found] == [(4, 13)]
+
+
+def test_long_list_of_names_is_joined(spark, monkeypatch):
+    """A list too long to broadcast gives the same items."""
+    texts = ["Shot by Amber Vessucci for the set.", "amber vessucci-drunidale stands near a wall.", None, "", "Ask olive zorington, 12 Elm Street."]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    n = spark.createDataFrame(NAMES, "given_name string, family_name string")
+    plain = sorted(tuple(r) for r in personal.find_personal(d, n).collect())
+    monkeypatch.setattr(personal, "LEXICON_WORDS", 2)
+    assert sorted(tuple(r) for r in personal.find_personal(d, n).collect()) == plain and len(plain) >= 3
+
+
 def test_name_that_occurs_once(spark):
     d = spark.createDataFrame([(1, "Shot by Philippa Nguyel for the winter set."), (2, "The wall is grey.")], "doc_id long, text string")
     n = spark.createDataFrame(NAMES, "given_name string, family_name string")
