@@ -22,7 +22,9 @@ from framewright.storage import spread
 
 LABELS = ["empty", "copied_prompt", "refusal", "other_language", "truncated"]
 #: Attempts that the classifier is fitted on at most.
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2000
+#: Label of refusals in wordings that only the calibration sees.
+UNSEEN = len(LABELS)
 HASH_BITS = 17
 
 # Frequent function words of languages that share the Latin script.
@@ -38,18 +40,36 @@ STOPWORDS = {
 # Words after which no sentence ends, and fragments that stand for a lost rest.
 OPEN_WORDS = frozenset("the and with a an of from her his its at while by der die das und mit eine einem einen einer nicht für den dem des zur im weil le la les l et un une avec des de du dans sur au aux que el los las y una con del por".split())
 DANGLING = ["with a", "and the", "the", "of", "a", "seen from", "with", "and", "mit einem", "und die", "avec un", "et la", "con una", "y la", "no", "from the", "in"]
-REFUSALS = [
-    "I don't have the ability to view attachments.", "I have to pass on this one because it may show private content.", "It would be inappropriate for me to describe this person.",
-    "I'm sorry, but I can't help with that.", "I cannot describe the people in this image.", "Sorry, I am unable to do this task.", "I must decline this request.",
-    "I won't describe this photo.", "As an AI model I am not able to see pictures.", "This request goes against the content policy.", "I'm not comfortable writing about this picture.",
-    "No answer can be given because of my guidelines.", "I can't assist with captioning this image.", "Unfortunately I am not able to process photos of real people.",
-    "I have to refuse.", "That is something I will not do.", "I apologize, but this image cannot be captioned by me.", "I can say nothing, because I am unable to identify people.",
-    "Es tut mir leid, das kann ich nicht beschreiben.", "Leider kann ich diese Bitte nicht erfüllen.", "Ich muss diese Anfrage ablehnen.", "Désolé, je ne peux pas répondre à cette demande.",
-    "Je dois refuser de décrire cette photo.", "Lo siento, no puedo ayudar con esta imagen.", "No puedo describir a esta persona.", "Je ne suis pas en mesure de vous aider.", "Ich bin nicht in der Lage, dieses Foto zu beschreiben.", "No me es posible comentar esta foto.", "Debo rechazar esta solicitud.",
+# Parts of refusals in training; a refusal takes one of each, so that words and not sentences are learned. Every fifth
+# core and object is kept for calibration only: thresholds are set on wordings that the classifier has not seen.
+OPENERS = {
+    "en": ["", "", "", "Sorry, ", "I'm sorry, but ", "Unfortunately ", "I apologize, but ", "I'm afraid ", "Regrettably, ", "Thanks, but ", "Hm, ", "As an AI, ", "As a language model "],
+    "de": ["", "", "Leider ", "Tut mir leid, ", "Entschuldigung, "], "fr": ["", "", "Désolé, ", "Malheureusement, "], "es": ["", "", "Lo siento, ", "Lamentablemente, "],
+}
+CORES = {
+    "en": [
+        "I can't describe {o}", "I cannot help with {o}", "I am unable to caption {o}", "I'm not able to write about {o}", "I won't comment on {o}", "I will not do {o}", "I must decline {o}", "I have to refuse {o}", "I refuse to discuss {o}", "I decline to answer", "I would rather not talk about {o}", "I'd prefer not to say", "I prefer to leave {o} alone",
+        "I do not caption {o}", "I don't write about {o}", "I don't have access to {o}", "I am not allowed to identify {o}", "I'm not permitted to judge {o}", "I may not speak about {o}", "I shouldn't describe {o}", "I could not open {o}", "I can't see {o}", "I have no way to look at {o}", "I have nothing to say about {o}", "my rules forbid {o}", "my guidelines do not let me describe {o}", "my instructions rule {o} out",
+        "it is not possible for me to process {o}", "it would be wrong of me to judge {o}", "that is beyond what I do", "that is nothing I take part in", "{o} is outside my task", "{o} is against the content policy", "{o} breaks the rules, so no answer", "no caption can be given for {o}", "no answer to {o}", "this can't be done by me", "request rejected", "the request is denied", "task refused", "access denied", "not possible, {o} is blocked",
+        "I am not comfortable with {o}", "I do not feel able to describe {o}", "I need to stop here", "count me out", "I must pass", "please ask someone else to describe {o}", "I can not assist you with {o}", "I'm going to skip {o}", "nothing can be said about {o}", "I am just a text model and see no pictures", "we are not able to serve {o}", "we cannot provide {o}",
+    ],
+    "de": ["kann ich {o} nicht beschreiben", "ich kann {o} nicht beantworten", "ich darf {o} nicht kommentieren", "ich möchte {o} nicht beurteilen", "ich muss {o} ablehnen", "ich bin nicht in der Lage, {o} zu sehen", "ich beschreibe {o} nicht", "das ist mir nicht möglich", "dazu sage ich nichts", "ich werde {o} nicht bearbeiten", "diese Anfrage wird abgelehnt", "dabei helfe ich nicht"],
+    "fr": ["je ne peux pas décrire {o}", "je ne suis pas en mesure de traiter {o}", "je dois refuser {o}", "je refuse de commenter {o}", "je ne veux pas parler de {o}", "il m'est impossible de voir {o}", "je n'ai pas le droit de décrire {o}", "cette demande est refusée", "je ne réponds pas à {o}", "je préfère ne rien dire"],
+    "es": ["no puedo describir {o}", "no me es posible comentar {o}", "debo rechazar {o}", "no quiero hablar de {o}", "no estoy autorizado a tratar {o}", "me niego a describir {o}", "no tengo acceso a {o}", "la solicitud está denegada", "no soy capaz de ver {o}", "prefiero no decir nada"],
+}
+OBJECTS = {
+    "en": ["this picture", "the people in this photo", "that request", "this task", "the image", "the attachment", "real people", "this person", "what you ask", "faces", "private content", "this kind of material", "the file", "somebody's looks", "it"],
+    "de": ["dieses Bild", "diese Person", "diese Bitte", "die Anfrage", "das Foto", "Gesichter"], "fr": ["cette photo", "cette personne", "cette demande", "l'image", "ces gens"], "es": ["esta imagen", "esta persona", "esta petición", "la foto", "estas caras"],
+}
+REFUSAL_TAILS = ["", "", "", " Try another picture.", " Is there anything else?", " Thank you for understanding.", " Ask me something different.", " It may show private things.", " That would not be right."]
+# Third-person sentences with the words of refusals: no defect. {r} is a word taken from a refusal.
+HARMLESS = [
+    "The left hand cannot be seen fully.", "Her shoes are not visible.", "The label can't be read.", "The hem is cut off and will not fit in the frame.", "She declines a cup with one hand.", "He refuses to look at the lens.", "A sign behind says '{r}, {r}'.", "A shirt with {r} printed on it hangs on the wall.", "A poster about {r} is pinned to the door.", "The {r} poster is out of focus.",
+    "Nobody else is able to enter the frame.", "The face is not hidden.", "There is no hat, no bag and nothing in the hands.", "The right arm is not in the picture.", "An apron with the word {r} covers the knees.", "The background does not distract.", "The people behind cannot be identified.", "It is not possible to see the feet.",
+    "Die linke Hand ist nicht zu sehen.", "Die Schuhe kann man nicht erkennen.", "On ne voit pas les pieds.", "La main gauche n'est pas visible.", "No se ve la mano izquierda.", "Los pies no están en la foto.",
 ]
-REFUSAL_TAILS = ["", "", " Please try another picture.", " Let me know if I can help with something else.", " I hope you understand.", " Please upload a different photo."]
 # What a model says before its answer.
-PREAMBLES = ["", "", "", "Sure! ", "Certainly. ", "Here is the caption:\n\n", "**Caption:** ", "Description: ", "Of course, here it is: ", "Understood. ", "Prompt: "]
+PREAMBLES = ["", "", "", "Sure! ", "Certainly. ", "Here is the caption:\n\n", "**Caption:** ", "Description: ", "Of course, here it is: ", "Understood. ", "Prompt: ", "Here is what I see: ", "My caption: ", "I wrote this: "]
 
 _BLANK = re.compile("[​‌‍⁠﻿­]")
 _MARKUP = re.compile(r"```\w*|`|\*\*|__|</?[A-Za-z][^<>]{0,80}>|^\s*#+\s*|^\s*[-*•]\s+", re.M)
@@ -63,13 +83,9 @@ _QUOTED = re.compile(r"(?<!\w)['\"“‘«„][^'\"”’»“\n]{3,160}['\"”
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 LAST_LATIN = "ɏ"
 _OPENING = re.compile(r"['\"“‘«„]([^'\"”’»“\n]{3,80})['\"”’»“]|start:\s*([^.\n]{3,80})", re.I)
-_CUE = re.compile(
-    r"\b(?:sorry|apolog\w*|cannot|can['’]?t|unable|not able|won['’]?t|refus\w*|declin\w*|guidelines?|polic(?:y|ies)|comfortable|language model|ai model|assist|upload|lo siento|no puedo|rechazar|"
-    r"désolé\w*|ne peux|leid|leider|ablehnen|kann ich\b.{0,40}\bnicht|outside what i|what i may|have the ability|inappropriate|pass on this|must pass|en mesure|in der lage|me es posible|kann dabei nicht)\b",
-    re.I,
-)
-#: Words by which a writer speaks of itself; what cannot be seen in a picture, or whom a sitter declines, is no refusal.
-_SPEAKER = re.compile(r"\b(?:i|me|my|ich|mir|mich|je|puedo|debo|siento)\b", re.I)
+# Words by which a writer speaks of itself, and negations, in the languages above.
+_SPEAKER = re.compile(r"\b(?:i|me|my|myself|we|ich|mir|mich|mein\w*|je|j|moi|me|puedo|debo|siento|quiero|tengo|soy|estoy|prefiero|ik|io|posso|eu)\b", re.I)
+_NEGATION = re.compile(r"\b(?:not|cannot|no|never|nothing|none|nicht|kein\w*|nichts|nie|ne|pas|rien|non|niet|geen|não|n)\b|n['’]t\b", re.I)
 _STOP = {k: frozenset(v.split()) for k, v in STOPWORDS.items()}
 
 _LANGUAGES = {w: [k for k, s in _STOP.items() if w in s] for s in _STOP.values() for w in s}
@@ -172,17 +188,21 @@ def pair_features(prompt: str | None, content: str | None, facts: tuple | None =
     x[31] = foreign > 0.5
     x[32] = x[22] * (ends[-1] in ("a", "the", "an", "of", "with", "and") if ends else 0)
     x[33] = x[17] * x[20]
-    cued = [bool(_CUE.search(t)) for t in sentences]
-    x[34] = min(3, sum(cued)) / 3
-    x[35] = sum(cued) / max(1, len(cued))
+    own_voice = [bool(_SPEAKER.search(t)) for t in sentences]
+    denied = [v and bool(_NEGATION.search(t)) for v, t in zip(own_voice, sentences)]
+    x[34] = min(3, sum(denied)) / 3
+    x[35] = sum(denied) / max(1, len(denied))
     x[36] = x[35] > 0.45
-    x[37] = any(c and _SPEAKER.search(t) for c, t in zip(cued, sentences))
+    x[37] = any(own_voice)
     mask, base = (1 << HASH_BITS) - 1, 0
     grams = [f"w {w}" for w in fwords] + [f"b {a} {b}" for a, b in zip(fwords, fwords[1:])]
     stop = "." if x[16] and not x[18] else "-"
     for k in (1, 2, 3):
         grams.append(f"t{k}{stop} {' '.join(ends[-k:])}")
     grams += [f"h {' '.join(fwords[:k])}" for k in (1, 2)]
+    for t in sentences:
+        first = _WORD.findall(t)
+        grams += [f"s {' '.join(first[:2])}", f"s3 {' '.join(first[:3])}", f"e {' '.join(first[-2:])}"]
     return [base + (crc32(g.encode()) & mask) for g in grams], x
 
 
@@ -227,13 +247,29 @@ def copied(prompt: str, content: str, rng: random.Random) -> str:
     return rng.choice(PREAMBLES) + text + ("" if rng.random() < 0.7 else "\n\n" + content)
 
 
-def refused(opening: str, rng: random.Random) -> str:
-    text = rng.choice(REFUSALS) + rng.choice(REFUSAL_TAILS)
+def refused(opening: str, rng: random.Random, unseen: bool = False) -> str:
+    """A refusal; ``unseen`` takes its core and object from those kept for calibration."""
+    lang = rng.choices(list(CORES), [7, 1, 1, 1])[0]
+    pick = lambda items: rng.choice([x for k, x in enumerate(items) if (k % 5 == 4) == unseen])
+
+    def one(first: str) -> str:
+        return first + pick(CORES[lang]).format(o=pick(OBJECTS[lang]))
+
+    text = one(rng.choice(OPENERS[lang]))
     if rng.random() < 0.25:
-        text += " " + rng.choice(REFUSALS)
+        text += rng.choice([". ", "; ", ", and "]) + one("")
+    text = text[:1].upper() + text[1:] + rng.choice([".", ".", ".", "!", ""]) + (rng.choice(REFUSAL_TAILS) if lang == "en" else "")
     if opening and rng.random() < 0.3:
         text = opening + ". " + text
-    return text.lower() if rng.random() < 0.25 else text
+    return text.lower() if rng.random() < 0.2 else text
+
+
+def harmless(content: str, rng: random.Random) -> str:
+    """A sound answer with words of refusals in it that decline nothing."""
+    told = re.split(r"(?<=[.!?。])\s+", content)
+    word = lambda m: rng.choice(re.findall(r"\w{4,}", refused("", rng)) or ["no"])
+    told.insert(rng.randint(1, len(told)), re.sub(r"\{r\}", word, rng.choice(HARMLESS)))
+    return " ".join(told)
 
 
 def emptied(rng: random.Random) -> str | None:
@@ -248,14 +284,17 @@ FOREIGN = {
     "ru": ["Женщина в серой куртке смотрит в окно.", "За ней видна кирпичная стена, свет тёплый."],
     "ja": ["女性は灰色の上着を着て窓を見ている。", "背景には煉瓦の壁が見える。光は暖かい。"],
     "en": ["The woman wears a grey jacket and looks at the window.", "Behind her a brick wall can be seen, and the light is warm.", "Both hands rest in the pockets, with a calm face."],
-    "de": ["Die Frau trägt eine graue Jacke und schaut zum Fenster.", "Hinter ihr ist eine Mauer zu sehen, das Licht ist warm.", "Die Hände stecken in den Taschen."],
-    "fr": ["La femme porte une veste grise et regarde vers la fenêtre.", "Derrière elle on voit un mur de briques, la lumière est chaude.", "Les mains sont dans les poches."],
-    "es": ["La mujer lleva una chaqueta gris y mira hacia la ventana.", "Detrás de ella se ve una pared de ladrillo, la luz es cálida.", "Las manos están en los bolsillos."],
+    "de": ["Die Frau trägt eine graue Jacke und schaut zum Fenster.", "Hinter ihr ist eine Mauer zu sehen, das Licht ist warm.", "Beide Hände liegen auf dem Tisch."],
+    "fr": ["La femme porte une veste grise et regarde vers la fenêtre.", "Derrière elle on voit un mur de briques, la lumière est chaude.", "Elle tient un livre dans la main."],
+    "es": ["La mujer lleva una chaqueta gris y mira hacia la ventana.", "Detrás de ella se ve una pared de ladrillo, la luz es cálida.", "Lleva un libro en la mano derecha."],
 }
 
 
-def training_pairs(rows: list[tuple[str | None, str | None]], seed: int = 29) -> list[tuple[str | None, str | None, int]]:
-    """(prompt, content, label place or -1) of the sample rows and of broken copies of them."""
+def training_pairs(rows: list[tuple[str | None, str | None]], seed: int = 29, unseen: float = 0.0) -> list[tuple[str | None, str | None, int]]:
+    """(prompt, content, label place or -1) of the sample rows and of broken copies of them.
+
+    ``unseen`` is the share of refusals in wordings kept for calibration; their label is ``UNSEEN``.
+    """
     rng = random.Random(seed)
     by_lang: dict[str, list[str]] = {k: [" ".join(rng.sample(v, rng.randint(1, len(v)))) for _ in range(60)] for k, v in FOREIGN.items()}
     facts = [prompt_facts(p) if p else None for p, _ in rows]
@@ -275,11 +314,13 @@ def training_pairs(rows: list[tuple[str | None, str | None]], seed: int = 29) ->
         if r < 0.12:
             out.append((prompt, emptied(rng), 0))
         elif r < 0.42:
-            out.append((prompt, rng.choice(PREAMBLES[:6]) + refused(f[1] if f else "", rng), 2))
+            new = rng.random() < unseen
+            label = UNSEEN if new else 2
+            out.append((prompt, rng.choice(PREAMBLES[:6]) + refused(f[1] if f else "", rng, new), label))
             if rng.random() < 0.4:  # after much of an answer, so that it may stand anywhere in the text
                 told = re.split(r"(?<=[.!?。])\s+", strip_markup(content))
                 head = " ".join(told[: rng.randint(1, len(told))])
-                out.append((prompt, head + rng.choice([" ", "\n\n"]) + refused("", rng), 2))
+                out.append((prompt, head + rng.choice([" ", "\n\n"]) + refused("", rng, new), label))
         elif r < 0.65 and prompt:
             out.append((prompt, copied(prompt, content, rng), 1))
         elif f and f[0] in _STOP:
@@ -288,6 +329,8 @@ def training_pairs(rows: list[tuple[str | None, str | None]], seed: int = 29) ->
             if len(_WORD.findall(text)) >= 5 or lang == "ja":
                 head = f[1] + ". " if f[1] and rng.random() < 0.4 else ""
                 out.append((prompt, rng.choice(PREAMBLES[:7]) + head + text, 3))
+        if rng.random() < 0.25:
+            out.append((prompt, harmless(content, rng), -1))
         if rng.random() < 0.01:
             out.append((prompt, re.sub(r"[.。]\s*$", "", content), -1))
     return out
@@ -308,7 +351,7 @@ class DefectModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fit(features: list[tuple[list[int], np.ndarray]], labels: np.ndarray, epochs: int = 8, rate: float = 0.08) -> tuple[np.ndarray, np.ndarray]:
+def _fit(features: list[tuple[list[int], np.ndarray]], labels: np.ndarray, epochs: int = 6, rate: float = 0.08) -> tuple[np.ndarray, np.ndarray]:
     """Logistic regression per label by mini-batch AdaGrad with weight decay."""
     n, kinds = len(features), len(LABELS)
     target = np.zeros((n, kinds))
@@ -351,38 +394,53 @@ def train(rows: list[tuple[str | None, str | None]]) -> DefectModel:
     """Fits the model to sample attempts, most of which must be sound.
 
     Suspicious attempts are no sound examples from the start; the sample's other broken
-    attempts are found by the first two fits and left out of the next. A fifth of the pairs is held out; each label's
-    threshold is the one with the best F1 there when a defect is as rare as
-    one pair in fifty, but at most 0.6, for refusals 0.3: their wordings are open-ended,
-    and those not among the generated ones score low.
+    attempts are found by a first fit and left out of the second. A fifth of the attempts is held
+    out for calibration, with half of its refusals in wordings kept for that; each label's threshold
+    is the one with the best F1 there when a defect is as rare as one pair in fifty. Held-out attempts
+    that the classifier itself takes for broken are left out, as their labels are not known.
     """
-    hold_model = None
     rows = [r for r in rows if not suspicious(*r)] or rows
-    for turn in range(3):
+    aside = [r for r in rows if crc32(str(r).encode()) % 5 == 0]
+    rows = [r for r in rows if crc32(str(r).encode()) % 5] or rows
+    facts: dict[str, tuple] = {}
+
+    def features_of(pairs: list) -> list:
+        return [pair_features(p, c, _facts_of(p, facts)) for p, c, _ in pairs]
+
+    for turn in range(2):
         pairs = training_pairs(rows, seed=29 + turn)
-        features = [pair_features(p, c) for p, c, _ in pairs]
-        labels = np.array([k for _, _, k in pairs])
-        held = np.array([crc32(f"{p}|{c}".encode()) % 5 == 0 for p, c, _ in pairs])
-        use = np.flatnonzero(~held)
-        hashed, dense = _fit([features[i] for i in use], labels[use])
-        hold_model = DefectModel(hashed, dense, np.full(len(LABELS), 0.5))
-        scored = np.stack([hold_model.scores(*features[i]) for i in range(len(pairs))])
-        if turn < 2:  # most broken attempts of the sample are still in it at first, so little is enough to leave one out
-            broken = {(p, c) for (p, c, k), s in zip(pairs, scored) if k < 0 and s.max() > 0.25}
+        features, labels = features_of(pairs), np.array([k for _, _, k in pairs])
+        model = DefectModel(*_fit(features, labels), np.full(len(LABELS), 0.5))
+        if turn == 0:  # most broken attempts of the sample are still in it at first, so little is enough to leave one out
+            broken = {(p, c) for (p, c, k), f in zip(pairs, features) if k < 0 and model.scores(*f).max() > 0.25}
             rows = [r for r in rows if r not in broken] or rows
-    at = np.flatnonzero(held)
+    aside = [r for r in aside if model.scores(*pair_features(*r, _facts_of(r[0], facts))).max() < 0.5]
+    pairs = training_pairs(aside, seed=31, unseen=0.5)
+    scored = np.stack([model.scores(*f) for f in features_of(pairs)]) if pairs else np.zeros((0, len(LABELS)))
+    truth = np.array([LABELS.index("refusal") if k == UNSEEN else k for _, _, k in pairs])
     threshold = np.full(len(LABELS), 0.5)
     for k in range(len(LABELS)):
-        good, bad = scored[at][labels[at] == k, k], scored[at][labels[at] != k, k]
+        good, bad = scored[truth == k, k], scored[truth != k, k]
         if len(good) < 5 or len(bad) < 5:
             continue
-        grid = np.linspace(0.1, 0.95, 35)
+        grid = np.linspace(0.02, 0.98, 97)
         hits = np.array([(good >= t).mean() for t in grid])
         false = np.array([(bad >= t).mean() * 49 for t in grid])
         f1 = 2 * hits / np.maximum(1 + hits + false, 1e-9)
         top = np.flatnonzero(f1 >= f1.max() - 1e-3)
-        threshold[k] = min(0.3 if LABELS[k] == "refusal" else 0.6, grid[top[len(top) // 2]])
-    return DefectModel(hold_model.hashed, hold_model.dense, threshold)
+        threshold[k] = grid[top[len(top) // 2]]
+    return DefectModel(model.hashed, model.dense, threshold)
+
+
+def _facts_of(prompt: str | None, known: dict[str, tuple]) -> tuple | None:
+    """Facts of a prompt, kept for the next attempts at it; ``known`` is emptied when it has grown large."""
+    if not prompt:
+        return None
+    if (facts := known.get(prompt)) is None:
+        if len(known) > 10_000:
+            known.clear()
+        facts = known[prompt] = prompt_facts(prompt)
+    return facts
 
 
 def decide(model: DefectModel, prompt: str | None, content: str | None, facts: tuple | None = None) -> str | None:
@@ -405,8 +463,8 @@ def broken_pairs(attempts: DataFrame) -> DataFrame:
     spark = attempts.sparkSession
     rows = attempts.select(F.col("attempt_id").cast("long").alias("attempt_id"), "base_prompt", "content").where("attempt_id is not null")
     n = rows.count()
-    keep = min(1.0, SAMPLE_ROWS / max(n, 1))
-    picked = rows.where(F.pmod(F.xxhash64("attempt_id", F.lit(5)), F.lit(1 << 30)) < int(keep * (1 << 30))).limit(SAMPLE_ROWS)
+    place = F.pmod(F.xxhash64("attempt_id", F.lit(5)), F.lit(1 << 30))
+    picked = rows.where(place < int(min(1.0, 1.2 * SAMPLE_ROWS / max(n, 1)) * (1 << 30))).orderBy(place, "attempt_id", F.xxhash64("content")).limit(SAMPLE_ROWS)
     sample = sorted({(r["base_prompt"], r["content"]) for r in picked.collect()}, key=str)
     schema = "attempt_id long, defect string"
     if not sample:
@@ -414,11 +472,11 @@ def broken_pairs(attempts: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(train(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model, facts = shared.value, {}
         for batch in batches:
             ids, kinds = [], []
             for key, prompt, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if kind := decide(model, prompt, content):
+                if kind := decide(model, prompt, content, _facts_of(prompt, facts)):
                     ids.append(key)
                     kinds.append(kind)
             yield pa.RecordBatch.from_pydict({"attempt_id": pa.array(ids, pa.int64()), "defect": pa.array(kinds, pa.string())})

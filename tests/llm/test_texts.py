@@ -176,10 +176,32 @@ def test_refusals_past_the_fortieth_word(attempts):
     model, rng = defects.train([(p, c) for k, p, c in attempts if k % 2]), random.Random(5)
     held = [(p, c) for k, p, c in attempts if not k % 2 and p and c and len(c.split()) > 45 and not defects.suspicious(p, c)]
     sound = [(p, c) for p, c in held if defects.decide(model, p, c) is None]
-    late = [defects.decide(model, p, c + " " + rng.choice(defects.REFUSALS)) for p, c in sound]
+    late = [defects.decide(model, p, c + " " + defects.refused("", rng, unseen=True)) for p, c in sound]
     assert len(late) > 50 and sum(k == "refusal" for k in late) / len(late) > 0.5
 
 
+# None of these sentences is one that the training can make.
+NEW_REFUSALS = [
+    "Request denied.", "I'd rather not.", "I do not describe people.", "Describing strangers is something I stay away from.", "My makers do not let me talk about faces.", "I was told to keep away from such photos.", "I shall not be answering that.",
+    "You will have to find someone else, as I do not name sitters.", "There is no way I could judge that.", "I have no eyes for attachments.", "I am not the right tool for portraits of persons.", "That kind of question I leave unanswered.", "I don't think I should say anything here.", "I would not feel right writing this.",
+    "Sorry, I will stay out of this one.", "I'm declining to caption strangers.", "Unfortunately such pictures are off limits for me.", "Dazu kann ich keine Auskunft geben.", "Je ne souhaite pas en parler.", "No voy a responder a eso.",
+]
+SOUND_WORDS = [
+    "Her left arm cannot be seen fully behind the coat.", "She wears an upload t-shirt with guidelines printed on it.", "A note on the wall says that no help is needed.", "The policy poster behind the man is not sharp.", "He is not able to hide the cup behind the chair.", "A model in a grey coat assists a child with a bag.", "The hat does not cover the ears.", "She refuses the umbrella with a raised hand.",
+    "A content creator's badge hangs from the belt.", "The request box on the counter is blocked by a plant.", "The sorry state of the bench is plain to see.", "Nothing is held in the right hand.", "One shoe is not visible below the frame.", "The file cabinet and the access door are painted red.", "The woman declines to sit and leans on the wall.", "A private road sign is not in focus.",
+]
+
+
+def test_refusals_in_words_of_no_list(model):
+    found = [defects.decide(model, PROMPT, t) for t in NEW_REFUSALS]
+    assert sum(k == "refusal" for k in found) >= 0.9 * len(found), [x for x in zip(NEW_REFUSALS, found) if x[1] != "refusal"]
+
+
+def test_sound_answers_with_words_of_refusals(model):
+    found = [defects.decide(model, PROMPT, ANSWER + " " + t) for t in SOUND_WORDS]
+    assert sum(k is None for k in found) >= 0.9 * len(found), [x for x in zip(SOUND_WORDS, found) if x[1]]
+
+
 def test_without_prompt_only_the_answer_counts(model):
     assert defects.decide(model, None, ANSWER) is None and defects.decide(model, None, "") == "empty"
 
