@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from framewright.llm import defects, leakage, personal, tokens
+from framewright.llm import common, defects, leakage, personal, tokens
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 tiktoken = pytest.importorskip("tiktoken")
@@ -71,9 +71,12 @@ def leaks_by_hand(docs, items, run):
     return out
 
 
-@pytest.mark.parametrize(("seed", "block"), [(0, 300_000), (1, 50)])
-def test_leaks_against_hand(spark, seed, block, monkeypatch):
-    monkeypatch.setattr(leakage, "BLOCK_WORDS", block)
+@pytest.mark.parametrize(("seed", "bits", "hot"), [(0, 1 << 29, 10**6), (1, 64, 3)])
+def test_leaks_against_hand(spark, seed, bits, hot, monkeypatch):
+    """Also with a filter that lets almost everything through, and with most keys taken for hot ones."""
+    for name in ("MOST_BITS", "LEAST_BITS"):
+        monkeypatch.setattr(leakage, name, min(bits, getattr(leakage, name)))
+    monkeypatch.setattr(common, "hot_bound", lambda total: hot)
     r = random.Random(seed)
     word = lambda: r.choice("red blue door Lamp, river; stone-wall a the of 12 été".split())
     items = [(i, " ".join(word() for _ in range(r.choice([3, 13, 20, 30])))) for i in range(15)] + [(20, None), (None, "x"), (21, "")]
