@@ -42,8 +42,8 @@ LEXICON_WORDS = 500_000
 
 _AT = r"(?:@|\s{0,2}[\[(]\s?at\s?[\])]\s{0,2}|\s{1,2}at\s{1,2})"
 _DOT = r"(?:\.|\s{0,2}[\[(]\s?dot\s?[\])]\s{0,2}|\s{1,2}dot\s{1,2})"
-_EMAIL = re.compile(rf"(?<![\w.+-])\w[\w.+-]*{_AT}[\w-]+(?:{_DOT}[\w-]+)+", re.I)
-_DIGITS = re.compile(r"(?<![\w.,:/@+-])(?:\+\s?|\()?\d+(?:(?:[  .\-/]|\)[  ]?|[  ]\()\d+)*(?![\w@])")
+_EMAIL = re.compile(rf"(?<![\w.+-])\w[\w.+-]*{_AT}[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[^\W\d_][\w-]*", re.I)
+_DIGITS = re.compile(r"(?<![\w.,:/@+-])(?:\+\s?|\()?\d+(?:(?:[ \xa0.\-/]|\)[ \xa0]?|[ \xa0]\()\d+)*(?![\w@])")
 # Letters belong to a number if they touch it or a hyphen ties them to it; behind a blank only in capitals, or in pairs as below.
 _IDENTITY = [
     re.compile(r"(?<![\w.+@-])(?:[A-Z]{1,2}-?)?\d{2,9}(?:[ .\-]\d{2,4}){0,3}(?:-?[A-Z])?(?![\w@])", re.I),
@@ -60,7 +60,7 @@ _ADDRESS = [
     # any number of words and more kinds of street where all of them are capitalised
     ("en_cap", re.compile(rf"(?<![\w.,-])(?:{_NUM}),?{_S}(?:[A-ZÀ-Þ][\w'’.-]*{_S})+?(?:(?:St|Ave|Rd|Ln|Ct|Blvd|ST|AVE|RD|LN|CT|BLVD)\.|(?:{_WIDE}|{_WIDE.upper()})\b)")),
     ("en_after", re.compile(rf"(?<![\w-])(?:[A-Z]{_W}{_S}){{1,3}}(?:{_STREETS})\.?,?{_S}(?:no\.?\s?)?\d{{1,4}}[a-z]?\b", re.I)),
-    ("de", re.compile(rf"(?<![\w-])[\w.'’-]*(?:stra(?:ß|ss)e|str\.?|weg|gasse|allee|platz|damm|ufer|ring){_S}\d{{1,4}}(?:\s?[a-z])?(?!\w)", re.I)),
+    ("de", re.compile(rf"(?<![\w-])(?:[\w.'’-]*(?:stra(?:ß|ss)e|str\.?|gasse|allee)|[\w.'’-]{{2,}}(?:weg|platz|damm|ufer|ring)){_S}\d{{1,4}}(?:\s?[a-z])?(?!\w)", re.I)),
     ("de_at", re.compile(rf"(?<![\w-])(?:Am|Im|Zum|Zur|Beim|(?:An|In|Auf|Unter|Hinter|Vor|Bei)[ ]de[nmr]){_S}(?:[A-ZÄÖÜ][\w-]*e[nmr]{_S})?[A-ZÄÖÜ]?[\wäöüß-]*(?:[Mm]arkt|[Gg]raben|[Tt]or|[Bb]ach|[Bb]erg|[Kk]irche|[Pp]ark|[Hh]of|[Ww]all|[Ss]ee|[Ww]ald|[Aa]nger|[Bb]runnen|[Dd]om|[Ff]eld|[Ss]teig|[Ll]inden|[Mm]ühle|[Aa]ue|[Ww]iese)n?{_S}\d{{1,4}}(?:\s?[a-z])?(?!\w)")),
     ("es", re.compile(rf"(?<![\w-])(?:calle|c/|avenida|avda\.?|paseo|plaza|camino|via|viale|corso)[ \t\xa0]{{0,3}}(?:de{_S})?(?:{_W}{_S}){{0,3}}?{_W},?{_S}\d{{1,4}}\b", re.I)),
     ("fr", re.compile(rf"(?<![\w.,-])\d{{1,4}}(?:\s?(?:bis|ter))?,?{_S}(?:rue|avenue|boulevard|chemin|place|quai|allée|impasse|cours){_S}(?:de\s|du\s|des\s|d['’])?(?:la\s)?{_W}(?:[ ](?-i:[A-Z])[\w'’-]*)?", re.I)),
@@ -216,30 +216,30 @@ def _repaired(word: str) -> str:
 _GIVEN_BITS = ["al", "ber", "cor", "da", "el", "fi", "gre", "ha", "is", "jo", "ka", "lu", "ma", "no", "ol", "pe", "ru", "sa", "te", "vi", "wil", "zo"]
 _GIVEN_ENDS = ["na", "rik", "la", "ne", "ton", "mira", "dan", "ia", "ette", "bert", "sine", "o"]
 _FAMILY_ENDS = ["man", "berg", "field", "ski", "son", "ova", "ley", "ini", "ez", "aud", "ström", "mann", "well", "ker", "dorf", "ard"]
-_STREET_NAMES = ["Walnut", "Chapel", "Queen's", "Abbey", "Green Lion", "Market", "Elm", "Red Barn", "South Gate", "St. John", "Albert", "Potter", "Bridge", "Orchard", "New Bridge", "Saint Anne Hill", "Little West Park", "Upper Stone Cross"]
+_STREET_NAMES = ["Walnut", "Chapel", "Queen's", "Abbey", "Green Lion", "Market", "Elm", "Red Barn", "South Gate", "St. John", "Albert", "Potter", "Bridge", "Orchard", "New Bridge", "Saint Anne Hill", "Little West Park", "Orchard Row", "Lion Court", "Hill Close", "Upper Stone Cross"]
 # All sentences are written for this generator. {n} name, {f} family name, {e} email, {p} phone, {i} identity number, {a} {d} {s} {r} addresses, {v} verb,
 # {G} {g} listed given name as a plain word, {U} invented capitalised word, {w} plain or invented word, {C} letter, {999} digits.
 _NAME_SLOTS = [
     "Photographer: {n}", "Stylist {n}, assistant {n}", "Hair and make-up: {n}", "Retouching was done by {n}", "Credit goes to {n} for the light.", "Best regards,\n{n}", "Signed: {n}", "Signed, {n}", "Consent was given by {n} on Tuesday.", "Waiver from {n} received.",
     "{n} signed the waiver.", "{n} called about the contract.", "{n} wrote that the colours are wrong.", "{n} would like two copies.", "{n} said yes to all of it.", "I spoke with {n} about the dates.", "We thank {n} for the help.", "We thank {n}", "We owe {n} a dinner.", "The portrait of {n} came out dark.", "a portrait of {n}, seated",
-    "as {n} told us, the roll is lost", "tell {n} that the files are ready", "send everything to {n}, {a}", "{n}, {a}", "Guardian: {n}, phone {p}", "Name: {n}\nPhone: {p}\nE-mail: {e}", "Model {n} ({p})", "{n} <{e}>", "From: {n} <{e}>", "invoice for {n}, {a}", "{n} lives at {a}.", "{n} can be reached on {p} or {e}.",
+    "as {n} told us, the roll is lost", "tell {n} that the files are ready", "send everything to {n}, {a}", "{n}, {a}", "{n}, {a}, {U} {U}", "a letter for {n}, {a}, {U}",  "{n}, {e}, has them", "the file of {n}, {w} and {w}", "Guardian: {n}, phone {p}", "Name: {n}\nPhone: {p}\nE-mail: {e}", "Model {n} ({p})", "{n} <{e}>", "From: {n} <{e}>", "invoice for {n}, {a}", "{n} lives at {a}.", "{n} can be reached on {p} or {e}.",
     "{n} ({e}) wants the raw files", "The name {n} is on the back of the print.", "Booking for {n}; document {i}; {p}.", "Mr. {f} came by at ten.", "Mrs {f} rang the bell.", "Ms {f} wants a refund.", "Ms. {f} agreed to it.", "Dr. {f} said yes.", "Dr. {n} agreed.", "Prof. {f} lent us the hall.", "Miss {f} was late.", "according to Dr {f}, fine", "the name tag says {n}", "a mug with the words '{n}' on it", "photo by {n}", "edited by {n} and {n}",
     "{n} and {n} share the frame.", "{n} {v} beside a window.", "{n} {v} with a cup in one hand.", "{n} {v} on a bench, arms folded.", "{n} {v}, a lamp behind.", "{n} is seen from below, {w} and {w}.", "A man, {n}, {v} at the door.", "In the doorway {n} {v} and laughs.", "Here {n} wears a wool coat.", "On the left {n} holds a lamp.", "The sitter is {n}.", "The sitter, {n}, is over eighteen.", "Under the {w} {n} {v} alone.",
     "Holder of document {i}: {n}.", "passport {i}, issued to {n}", "This one of {n} is soft.", "Removed at the wish of {n}.", "forwarded by {n} yesterday", "Question for {n}: which frame?", "{w} {w} {n} {w} {w}.", "{w} {n}, {w}.", "{w}: {n}; {w}", "then {n} {w} the {w}", "{w} by {n} in {w}", "{w} for {n}.",
-    "Unterschrieben von {n}.", "{n} hat unterschrieben.", "Kontakt: {n}, Telefon {p}", "Herr {f} kommt um zehn.", "Frau {f} möchte Abzüge.", "Das Bild zeigt {n}.", "Danke an {n} für das Licht.", "Model: {n}, wohnhaft {d}", "Mit freundlichen Grüßen\n{n}", "Die Erlaubnis hat {n} erteilt.",
-    "Signé par {n}.", "Merci à {n} pour la lumière.", "Contact : {n}, tél. {p}", "Madame {f} veut deux tirages.", "Sur la photo, {n} sourit.", "{n} est d'accord.", "Firmado por {n}.", "Gracias a {n} por la luz.", "Contacto: {n}, tel. {p}", "La señora {f} llamó ayer.", "Sr. {f} vino a las diez.", "En la foto, {n} sonríe.", "{n} está de acuerdo.",
+    "Unterschrieben von {n}.", "{n} hat unterschrieben.", "Kontakt: {n}, Telefon {p}", "Herr {f} kommt um zehn.", "Frau {f} möchte Abzüge.", "Das Bild zeigt {n}.", "Zusage von {n} ist da.", "Danke an {n} für das Licht.", "Model: {n}, wohnhaft {d}", "Mit freundlichen Grüßen\n{n}", "Die Erlaubnis hat {n} erteilt.",
+    "Signé par {n}.", "Merci à {n} pour la lumière.", "Contact : {n}, tél. {p}", "Madame {f} veut deux tirages.", "Sur la photo, {n} sourit.", "{n} est d'accord.", "Portrait de {n}, tél. {p}", "Image de {n}, prise en mai", "Tirage de {n}, {w} au {p}", "{w} de {n}, {w}.", "Retrato de {n}, {w} {w}", "Firmado por {n}.", "Gracias a {n} por la luz.", "Contacto: {n}, tel. {p}", "La señora {f} llamó ayer.", "Sr. {f} vino a las diez.", "En la foto, {n} sonríe.", "{n} está de acuerdo.",
 ]
 _OTHER_SLOTS = [
-    "Phone: {p}", "phone {p}", "ring {p} after six", "text me on {p}", "or call {p}.", "Fax {p}", "his mobile is {p}", "the number {p} is out of order", "a sign with {p} on it", "a poster says call {p}", "Tel {p}", "tel: {p}", "a van with {p} on the door", "{p} is painted on the wall", "{w} {w} {p} {w}", "{w}: {p}", "Telefon: {p}", "Rückruf unter {p}", "tél. {p}", "appelez le {p}", "llame al {p}", "teléfono {p}", "on {p}, or by mail: {e}",
+    "Phone: {p}", "phone {p}", "ring {p} after six", "text me on {p}", "or call {p}.", "Fax {p}", "his mobile is {p}", "the number {p} is out of order", "a sign with {p} on it", "a poster says call {p}", "Tel {p}", "tel: {p}", "a van with {p} on the door", "{p} is painted on the wall", "{w} {w} {p} {w}", "{w}: {p}", "Telefon: {p}", "Rückruf unter {p}", "tél. {p}", "appelez le {p}", "llame al {p}", "teléfono {p}", "on {p}, or by mail: {e}", "his number is {p}", "find us at {p}, any day", "the office at {p} knows", "{w} at {p} {w}", "{a}; bell {p}",
     "Email: {e}", "mail {e} for access", "write to {e}", "send it to {e} by noon", "contact {e} or {e}", "{e} bounced", "my address is {e}", "{w} {e} {w}", "{w}: {e}", "E-Mail: {e}", "per Mail an {e}", "courriel : {e}", "correo: {e}", "you can find me under {e}", "mailto:{e}",
     "Social security number {i}", "SSN {i}", "ssn: {i}", "my SSN is {i}.", "Passport no. {i}", "passport {i}", "his passport is {i}", "passport number {i} was visible", "National ID {i}", "ID card {i}", "the id is {i}", "Tax ID {i}", "tax number {i}", "driving licence {i}", "licence no {i}", "a card with {i} on it", "the document {i} was shown", "{w} number {i}, {w}", "identity number: {i}", "ID no. {i}, blurred later", "Personalausweis {i}", "Steuernummer {i}", "Ausweis: {i}", "carte d'identité {i}", "passeport n° {i}", "DNI {i}", "pasaporte {i}", "NIF: {i}", "permis {i}", "Führerschein {i} liegt vor",
-    "Address: {a}", "ship to {a}", "the studio is at {a}.", "come to {a} at nine", "we shot at {a}, second floor", "deliver to {a}, please", "she lives at {a}", "in front of {a} we waited", "the house at {a} burned", "pick-up: {a}", "{w} {w} {a} {w}", "{w} to {a}.", "Adresse: {d}", "wir treffen uns in der {d}", "Studio: {d}", "geliefert an {d}", "Treffen: {d}.", "dirección: {s}", "el estudio está en {s}", "entrega en {s}", "adresse : {r}", "rendez-vous au {r}", "livrer au {r}",
+    "Address: {a}", "ship to {a}", "the studio is at {a}.", "come to {a} at nine", "we shot at {a}, second floor", "deliver to {a}, please", "she lives at {a}", "in front of {a} we waited", "the house at {a} burned", "pick-up: {a}", "{a}, {U}", "{a}, {U} {U}.", "sent to {a}, {U} {U}, by post", "'{a}, {U} {U}' on the box", "{w} {w} {a} {w}", "{w} to {a}.", "Adresse: {d}", "wir treffen uns in der {d}", "Studio: {d}", "geliefert an {d}", "Treffen: {d}.", "dirección: {s}", "el estudio está en {s}", "entrega en {s}", "adresse : {r}", "rendez-vous au {r}", "livrer au {r}",
 ]
 _DECOYS = [
     "Order {9999999} shipped in {99} boxes.", "Ticket #{99999} closed.", "seed {9999999999}, steps {99}, cfg {9}.{9}", "random seed {999999999}", "IMG_{9999}.jpg, DSC{99999}.png", "file_{99}@{9}x.webp", "icon@{9}x.png in the folder", "{99}.{99}.20{99} {99}:{99}", "20{99}-0{9}-1{9}T1{9}:{99}:{99}", "20{99}:1{9}:0{9} 0{9}:{99}:{99} in the header", "20{99}-0{9}-0{999} used batch {99}", "f/{9}.{9}, 1/{999} s, ISO {999}", "{99} mm lens at {999} cm", "serial number {999}-{9999}-{9999}", "body no. {C}{C}-{9999}-{999}-{9999}", "Serial {C}{C}{99999999} on the body", "model no. {C}{9999}-{99}",
     "lot {9999}-{9999}", "batch {99}-{9999}, shelf {9}", "checksum {99999999}", "lr 0.000{9}, batch {99}, epoch {99}", "loss 0.{99999999} at step {9999}", "step 00{9999} of {99999}", "{9}.{99999999} on the dial", "{9999}x{9999} px, {99}.{9} MB", "10.{9}.{99}.{99} port {9999}", "version {9}.{99}.{9}", "build {9999}.{9}.{9999}.{99}", "price {9}.{999},{99} EUR", "Total: {9999}.{99} for roll {99}", "{99} of {999} frames kept", "{99} % rejected", "frames {99} to {99} are fine", "{99} close-ups and {99} others", "room {999}, {99} chairs", "page {99}, line {9}", "colour #{9}{C}{9}{C}{99}",
-    "barcode {9} {999999} {999999}", "ISBN 978-{9}-{99}-{999999}-{9}", "ISBN {999}-{9}-{999}-{99999}-{9}", "invoice {9999}-{999}", "box {999}, {99}, {999}, {999}", "boxes {9999} {999} {999} {9999}", "{9}e-0{9} and 0x{9}F", "Queue {99}/{999}, {99}.{9} GB left", "user {99999}, group {9999}", "posted by @{g}_{99}", "@{g}.{w} #{w}{99}", "parcel {9999} {9999} {9999} {9999}", "account balance {9999999}", "{w} {9999999} {w}", "{w} {99} {w}, {999} {w}", "the answer is {99}.{9999999}",
-    "The {G} curtain is heavy.", "{G} green, {G} grey and {G} blue swatches", "a {g} scarf on a {g} chair", "The {G} preset is too warm.", "{G} lens, {G} filter.", "the {G} Tower in the background", "{G} Street fair", "{G} Lake at dawn", "{G} & Sons tripod", "Team {G} lunch", "at the {G} Hotel", "{G} Road was closed.", "in {g} tones", "{G} White and {G} Sand are the paints.", "{G} Studio has two rooms.", "Try the {G} look, {G} light and {G} tint.", "{G}, {g} and rust",
+    "barcode {9} {999999} {999999}", "ISBN 978-{9}-{99}-{999999}-{9}", "ISBN {999}-{9}-{999}-{99999}-{9}", "invoice {9999}-{999}", "box {999}, {99}, {999}, {999}", "boxes {9999} {999} {999} {9999}", "{9}e-0{9} and 0x{9}F", "Queue {99}/{999}, {99}.{9} GB left", "user {99999}, group {9999}", "posted by @{g}_{99}", "@{g}.{w} #{w}{99}", "parcel {9999} {9999} {9999} {9999}", "account balance {9999999}", "{w} {9999999} {w}", "{w} {99} {w}, {999} {w}", "the answer is {99}.{9999999}", "Seed: {9999999999}", "seed {9999999999} {w} {w}", "with seed {0999999999} again", "{9}.{99999999999999} and more digits", "during {99} minutes", "spring 20{99}, roll {9}", "a string of {99} lamps", "string {9} of {99}", "{w} at {99}.{999} {w}",
+    "The {G} curtain is heavy.", "{G} green, {G} grey and {G} blue swatches", "a {g} scarf on a {g} chair", "The {G} preset is too warm.", "{G} lens, {G} filter.", "the {G} Tower in the background", "{G} Street fair", "{G} Lake at dawn", "{G} & Sons tripod", "Team {G} lunch", "at the {G} Hotel", "{G} Road was closed.", "in {g} tones", "{G} White and {G} Sand are the paints.", "paint: {G} {U} Blue", "{G} {U} Grey for the wall, {G} {U} for the door", "the cloth, {G} {U} Red", "{G} Studio has two rooms.", "Try the {G} look, {G} light and {G} tint.", "{G}, {g} and rust",
     "the {U} {U} lens", "The {U} {U} preset is warm.", "{U} {U} is the name of the cloth.", "near {U} {U}", "in {U} {U} we stopped", "a {U} {U} bag", "the {U} {U} market", "the {U} and {U} kit", "a {U} {99} camera", "The {U} Film {99} is grainy.", "the market in {U} {U}", "on the way to {U} {U}", "{U} Hall was empty", "{U} Bay, {U} Hill and {U} Point are far.", "made in {U}", "{U} {U} opens at ten.", "Lens: {U} {U} {99} mm", "Location: {U} {U}, {U}", "the {U} River and the {U} Bridge",
     "{99} people on the street", "{9} lanes of the road", "{99} steps to the court", "a street lamp and {99} doors", "{9} boats near the quay", "the road at number {9} is closed", "Write {99} words on the square format.", "Look at the {w} dot on the {w}.", "We met at the gate at ten.", "Stay at the {w}. It is {w}.", "flat {9}{C}, top bell", "{9}th floor, door {C}",
     "A {w} of {w} {w}, {w} {w} and the {w} of {w} {w}.", "Look for {w} {w} first, then {w} {w} on the {w}.", "The {w} {w} the {w} by {w}, then {w} {w} toward the {w}.", "Note: {w} {w}, three {w} {w}; a {w} of {w} {w} unless it {w} both {w}.", "She {v} in the {w}, {w} {w}.", "Soft light, dark {w}, hard {w}.", "Close-Up, Medium Shot, Full Body", "Monday Morning: {w} {w}", "Rule {9}: Never {w} the {w}.", "Good Caption, Bad Caption", "Portrait, Frontal, Indoor; {w}, {w}", "Warm Light. Cold Shadow.", "Tags: {w}, {w}, {w}",
@@ -398,7 +398,7 @@ class Sentences:
             if text:
                 text += self.rng.choice([" ", " ", "\n", "\n\n"])
             more, found = self.sentence()
-            if self.rng.random() < 0.08 and len(more.upper()) == len(more):
+            if self.rng.random() < (0.08 if found else 0.25) and len(more.upper()) == len(more):
                 more = more.upper()
             gold |= {(a + len(text), b + len(text), k) for a, b, k in found}
             text += more
@@ -470,8 +470,10 @@ class Finder:
         for i in range(len(groups) if sum(digits) > 11 else 0):
             j, total = i, 0
             while j < len(groups) and (total := total + digits[j]) <= 15:
-                if total >= 7:
-                    bounds.add((groups[i][0], groups[j][1]))
+                first, last = groups[i][0], groups[j][1]
+                # numbers that run together have a blank between them; a part of a decimal or of a dashed number is none
+                if total >= 7 and (first == start or text[first - 1].isspace()) and (last == end or text[last].isspace()):
+                    bounds.add((first, last))
                 j += 1
         for a, b in sorted(bounds):
             self._add(out, text, a, b, kind, _number_features(text, kind, a, b))
@@ -503,9 +505,11 @@ class Finder:
                 return
             if (low[f] in COMMON and fs == UNKNOWN) or (g is not None and low[g] in COMMON and gs == UNKNOWN):
                 return
-            seen.add((start, end))
             gc, fc = _cased(spans[g][2]) if g is not None else "-", _cased(spans[f][2])
             titled = i > 0 and low[i - 1] in TITLES
+            if g is not None and (gc == "l") != (fc == "l") and (form == "F,G" or (gs == fs == UNKNOWN and not titled)):
+                return
+            seen.add((start, end))
             known = "both" if gs in "KL" and fs in "KL" else "family" if fs in "KL" else "given" if gs in "KL" else "none"
             before = text[max(0, start - 2) : start]
             features = [
