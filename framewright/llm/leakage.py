@@ -63,6 +63,17 @@ def shingle_hashes(words: list[str], hashes: dict[str, int]) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def batch_hashes(texts: list[list[str]], hashes: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash) of every shingle of several texts, in one go."""
+    sizes = np.array([len(t) for t in texts], "i8")
+    every = shingle_hashes([w for t in texts for w in t], hashes)
+    start = np.cumsum(sizes) - sizes
+    line = np.repeat(np.arange(len(texts)), np.maximum(0, sizes - SHINGLE_WORDS + 1))
+    shingles = np.maximum(0, sizes - SHINGLE_WORDS + 1)
+    place = np.arange(len(line)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
+    return line, place, every[start[line] + place] if len(line) else every[:0]
+
+
 def _spots(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     """Three places of a filter for every hash."""
     mask = np.uint64(bits - 1)
@@ -137,9 +148,9 @@ def document_frequency(documents: DataFrame, flags: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = _WordHashes(), Counter()
         for batch in batches:
-            for text in batch.column(0):
-                every = shingle_hashes(words_of(text.as_py()), hashes)
-                counts.update(set(every[passes(shared.value, every)].tolist()))
+            line, _, every = batch_hashes([words_of(t) for t in batch.column(0).to_pylist()], hashes)
+            good = passes(shared.value, every)
+            counts.update(h for _, h in set(zip(line[good].tolist(), every[good].tolist())))
         yield pa.RecordBatch.from_pydict({"hash": pa.array(np.fromiter(counts, "u8", len(counts)).view("i8")), "n": pa.array(list(counts.values()), pa.int64())})
 
     return spread(documents.select("text").where("text is not null")).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("documents"))
@@ -157,19 +168,16 @@ def spots_in_documents(documents: DataFrame, flags: np.ndarray, run_words: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            docs, found, spans, before = [], [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = words_of(text.as_py())
-                if len(words) < run_words:
-                    continue
-                every = shingle_hashes(words, hashes)
-                for i in np.flatnonzero(passes(shared.value, every)).tolist():
-                    start = max(0, i - reach)
-                    docs.append(key)
-                    found.append(every[i])
-                    spans.append(words[start : i + SHINGLE_WORDS + reach])
-                    before.append(i - start)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(docs, pa.int64()), "hash": pa.array(np.array(found, "u8").view("i8")), "words": pa.array(spans, pa.list_(pa.string())), "before": pa.array(before, pa.int32())})
+            keys, texts = batch.column(0).to_pylist(), [words_of(t) for t in batch.column(1).to_pylist()]
+            line, place, every = batch_hashes(texts, hashes)
+            good = passes(shared.value, every)
+            docs, found, spans, before = [], every[good], [], []
+            for k, i in zip(line[good].tolist(), place[good].tolist()):
+                start = max(0, i - reach)
+                docs.append(keys[k])
+                spans.append(texts[k][start : i + SHINGLE_WORDS + reach])
+                before.append(i - start)
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(docs, pa.int64()), "hash": pa.array(found.view("i8")), "words": pa.array(spans, pa.list_(pa.string())), "before": pa.array(before, pa.int32())})
 
     return spread(documents.where("doc_id is not null and text is not null")).mapInArrow(run, "doc_id long, hash long, words array<string>, before int")
 
