@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.operators.quantiles import exact_quantiles
 from framewright.schema import COMPOSITIONS
 
 METRICS = ("sharpness", "face_sharpness", "contrast", "colorfulness", "noise")
@@ -32,8 +33,9 @@ def number(metric: str) -> Column:
 
 def ceilings(records: DataFrame) -> DataFrame:
     """One row: per metric the exact 95th percentile of its positive numbers, 1 if there are none."""
-    good = lambda m: F.when((F.col(m) > 0) & ~F.isnan(m), F.col(m))
-    return records.agg(*[F.coalesce(F.percentile(good(m), F.lit(0.95)), F.lit(1.0)).alias(f"ceil_{m}") for m in METRICS])
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("series"), F.col(m).cast("double").alias("value")) for m in METRICS])).alias("x")
+    found = exact_quantiles(records.select(*METRICS).select(each).select("x.*").where("value > 0 and not isnan(value)"), 0.95)
+    return records.sparkSession.createDataFrame([tuple(found.get(m, 1.0) for m in METRICS)], ", ".join(f"ceil_{m} double" for m in METRICS))
 
 
 def composite_score(records: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions import vectors
+from framewright.operators.quantiles import exact_quantiles
 
 MAX_POOL = 5000
 DUPLICATE = 0.05
@@ -175,8 +176,9 @@ def near_duplicates(pool: DataFrame, key: str, vector: str, threshold: float = D
 
 
 def median_vector(records: DataFrame, vector: str) -> DataFrame:
-    """``pos``, ``value``: the exact median of each dimension. Aggregated by position, any number of rows."""
-    return records.select(F.posexplode(vector).alias("pos", "x")).groupBy("pos").agg(F.percentile(F.col("x").cast("double"), F.lit(0.5)).alias("value"))
+    """``pos``, ``value``: the exact median of each dimension, of any number of rows (see ``exact_quantiles``)."""
+    found = exact_quantiles(records.select(F.posexplode(vector).alias("series", "value")), 0.5)
+    return records.sparkSession.createDataFrame(sorted(found.items()), "pos int, value double")
 
 
 def distance_to_median(records: DataFrame, key: str, vector: str) -> DataFrame:

@@ -247,7 +247,7 @@ REFINE = (
     FEATURES
     + QUOTA_FIRST.replace("\n  select path, turn from (", ",\n  sel as (select alive.i, turn from (", 1)
     + f"""),
-  facts as (select list(composition order by i) as comps, list(total_score order by i) as scores, list(v_single order by i) as single, list(v_sunglasses order by i) as glasses, list(v_occlusion order by i) as covered
+  facts as (select list(composition order by i) as comps, list(total_score order by i) as scores, list(v_single order by i) as single, list(v_lighting = 'Outdoor' order by i) as outdoor, list(v_sunglasses order by i) as glasses, list(v_occlusion order by i) as covered
     from unit join ({VERDICTS}) using (path)),
   dupes as (select list(nr order by i) as near from (select a as i, list(b) filter (where dist < 0.05) as nr from d group by 1)),
   middle as (select list(m order by pos) as mv from (select pos, median(x) as m from (select unnest(v) as x, unnest(range(64)) as pos from unit join sel using (i)) group by 1)),
@@ -259,19 +259,42 @@ REFINE = (
     select k + 1, case when new is null then refined else list_append(refined, new) end, list_filter(rest, lambda x: x is distinct from new) from (
       select *, coalesce(list_filter(fresh, lambda x: comps[x + 1] is not distinct from comps[removed[k + 1] + 1])[1], fresh[1]) as new from (
         select a.*, comps, removed, list_filter(rest, lambda x: not list_has_any(near[x + 1], refined)) as fresh from stage_a a, facts, dupes, gone where k < len(removed)))),
-  stage_b(k, refined, rest, several) as (
-    select 0, refined, rest, list_filter(refined, lambda x: not single[x + 1]) from (select * from stage_a order by k desc limit 1), facts
+  stage_b(k, refined, rest, several, seen) as (
+    select 0, refined, rest, list_filter(refined, lambda x: not single[x + 1]), refined from (select * from stage_a order by k desc limit 1), facts
     union all
-    select k + 1, case when new is null then left_ else list_append(left_, new) end, list_filter(rest, lambda x: x is distinct from new), several from (
-      select *, list_filter(rest, lambda x: single[x + 1] and not list_has_any(near[x + 1], left_))[1] as new from (
-        select b.*, single, near, list_filter(refined, lambda x: x <> several[k + 1]) as left_ from stage_b b, facts, dupes where k < len(several)))),
-  stage_c(k, refined, rest, problem) as (
-    select 0, refined, rest, list_filter(refined, lambda x: glasses[x + 1] or covered[x + 1]) from (select * from stage_b order by k desc limit 1), facts
+    select k + 1, case when new is null then left_ else list_append(left_, new) end, list_filter(rest, lambda x: x is distinct from new), several, list_concat(seen, case when new is null then cand else cand[1:list_position(cand, new)] end) from (
+      select *, list_filter(cand, lambda x: single[x + 1])[1] as new from (select *, list_filter(rest, lambda x: not list_has_any(near[x + 1], left_)) as cand from (
+        select b.*, single, near, list_filter(refined, lambda x: x <> several[k + 1]) as left_ from stage_b b, facts, dupes where k < len(several))))),
+  stage_c(k, refined, rest, problem, seen) as (
+    select 0, refined, rest, list_filter(refined, lambda x: glasses[x + 1] or covered[x + 1]), seen from (select * from stage_b order by k desc limit 1), facts
     union all
-    select k + 1, case when best is not null then list_append(left_, best.x) when glasses[problem[k + 1] + 1] then left_ else refined end, list_filter(rest, lambda x: x is distinct from best.x), problem from (
-      select *, list_min(list_transform(list_filter(rest, lambda x: single[x + 1] and not glasses[x + 1] and not covered[x + 1] and not list_has_any(near[x + 1], refined)),
-          lambda x: {{'m': comps[x + 1] is distinct from comps[problem[k + 1] + 1], 's': -scores[x + 1], 'x': x}})) as best from (
-        select c.*, single, glasses, covered, comps, scores, near, list_filter(refined, lambda x: x <> problem[k + 1]) as left_ from stage_c c, facts, dupes where k < len(problem))))"""
+    select k + 1, case when new is not null then list_append(left_, new) when DROP_ and glasses[problem[k + 1] + 1] then left_ else refined end, list_filter(rest, lambda x: x is distinct from new), problem,
+      list_concat(seen, case when new is null then cand else cand[1:list_position(cand, new)] end) from (
+      select *, list_filter(cand, lambda x: single[x + 1] and not glasses[x + 1] and not covered[x + 1])[1] as new from (
+        select *, list_transform(list_sort(list_transform(list_filter(rest, lambda x: not list_has_any(near[x + 1], refined)),
+          lambda x: {{'m': comps[x + 1] is distinct from comps[problem[k + 1] + 1], 's': -scores[x + 1], 'x': x}})), lambda t: t.x) as cand from (
+          select c.*, single, glasses, covered, comps, scores, near, list_filter(refined, lambda x: x <> problem[k + 1]) as left_ from stage_c c, facts, dupes where k < len(problem))))),
+  share_ as (select len(list_filter(refined, lambda x: outdoor[x + 1])) > len(list_filter(refined, lambda x: not outdoor[x + 1])) as outs, greatest(len(list_filter(refined, lambda x: outdoor[x + 1])), len(list_filter(refined, lambda x: not outdoor[x + 1]))) as have
+    from (select * from stage_b order by k desc limit 1), facts),
+  begin_d as (select *, have - trunc(len(refined) * 0.7::double)::int as most, list_transform(list_sort(list_transform(refined, lambda x: {{'s': scores[x + 1], 'x': x}})), lambda t: t.x) as weak from (select * from stage_c order by k desc limit 1), facts, share_),
+  stage_d(k, refined, rest, seen, vacant, most, leaving) as (
+    select 0, case when most > 0 then weak else refined end, rest, seen, case when most > 0 then list_filter(weak, lambda x: outdoor[x + 1] = outs) else []::bigint[] end, most, []::bigint[] from begin_d
+    union all
+    select k + 1, case when new is null then refined else list_append(refined, new) end, list_filter(rest, lambda x: x is distinct from new), list_concat(seen, case when new is null then reach else list_filter(reach, lambda x: x <= new) end),
+      vacant, most, case when new is null then leaving else list_append(leaving, vacant[k + 1]) end from (
+      select *, list_filter(reach, lambda x: outdoor[x + 1] <> outs and (single[x + 1] or list_contains(seen, x)))[1] as new from (
+        select *, list_filter(cand, lambda x: len(list_filter(cand, lambda y: y <= x and not list_contains(seen, y))) <= 6) as reach from (
+          select d.*, outs, single, outdoor, list_sort(list_filter(rest, lambda x: comps[x + 1] is not distinct from comps[vacant[k + 1] + 1] and not list_has_any(near[x + 1], refined))) as cand
+          from stage_d d, facts, dupes, share_ where k < len(vacant) and len(leaving) < most)))),
+  result_d as (select 0 as k, list_filter(refined, lambda x: not list_contains(leaving, x)) as refined, rest from (select * from stage_d order by k desc limit 1)),
+  begin_e as (select rest, list_transform(list_sort(list_transform(refined, lambda x: {{'s': scores[x + 1], 'x': x}})), lambda t: t.x) as weak from result_d, facts),
+  stage_e(k, weak, rest, leaving, arriving) as (
+    select 0, weak, rest, []::bigint[], []::bigint[] from begin_e
+    union all
+    select k + 1, weak, list_filter(rest, lambda x: x is distinct from new), case when new is null then leaving else list_append(leaving, weak[k + 1]) end, case when new is null then arriving else list_append(arriving, new) end from (
+      select e.*, list_filter(list_sort(rest), lambda x: comps[x + 1] is not distinct from comps[weak[k + 1] + 1] and scores[x + 1] > scores[weak[k + 1] + 1] and not list_has_any(near[x + 1], weak))[1] as new
+      from stage_e e, facts, dupes where k < greatest(1, trunc(len(weak) * 0.1::double)::int) and k < len(weak))),
+  result_e as (select 0 as k, list_concat(list_filter(weak, lambda x: not list_contains(leaving, x)), arriving) as refined from (select * from stage_e order by k desc limit 1))"""
 )
 
 _BLUR = f"""
@@ -303,15 +326,12 @@ def _sides(axis: str, other: str) -> str:
 
 
 def _sharpness(grid: str) -> str:
-    return f"select img_id, var_pop(({_sides('x', 'y')} + {_sides('y', 'x')} - 4 * c)::double) as s from ({grid}) group by img_id".replace("var_pop(", "var_pop(").replace(
-        f"select img_id, var_pop(({_sides('x', 'y')} + {_sides('y', 'x')} - 4 * c)::double) as s from ({grid})",
-        f"select img_id, var_pop(lap::double) as s from (select *, {_sides('x', 'y')} + {_sides('y', 'x')} - 4 * c as lap from ({grid}))",
-    )
+    return f"select img_id, var_pop(lap::double) as s from (select *, {_sides('x', 'y')} + {_sides('y', 'x')} - 4 * c as lap from ({grid})) group by img_id"
 
 
 _FACE_GRID = f"select g.* from ({GRID}) g where x >= greatest(img_id % 6 - 2, 0) and x < img_id % 6 + 4 and y >= img_id % 5 and y < img_id % 5 + 5"
-_NOISE = f"""select img_id, round(avg(abs(c - list_sort(list_concat(coalesce(lag(t) over w, t), t, coalesce(lead(t) over w, t)))[5])), 6) as noise
-  from (select *, [coalesce(lag(c) over v, c), c, coalesce(lead(c) over v, c)] as t from ({GRID}) window v as (partition by img_id, y order by x)) window w as (partition by img_id, x order by y)"""
+_NOISE = f"""select img_id, round(avg(m), 6) as noise from (select img_id, abs(c - list_sort(list_concat(coalesce(lag(t) over w, t), t, coalesce(lead(t) over w, t)))[5]) as m
+  from (select *, [coalesce(lag(c) over v, c), c, coalesce(lead(c) over v, c)] as t from ({GRID}) window v as (partition by img_id, y order by x)) window w as (partition by img_id, x order by y)) group by 1"""
 _LINES = f"""select img_id, axis, spot, avg((b + g + r) / 3.0) as level from (select img_id, 'row' as axis, y as spot, b, g, r from ({GRID}) union all select img_id, 'col', x, b, g, r from ({GRID})) group by all"""
 _NEAR = {
     "r": "x >= 2 - rad and x < 2 + rad and y >= 4 - rad and y < 4 + rad",
@@ -378,7 +398,7 @@ SQL: dict[str, str] = {
     "pixel_exposure": f"select img_id, round(greatest(0.0, 1.0 - avg(case when c < 15 or c >= 240 then 1.0::double else 0.0::double end)), 6) as exposure_score from ({GRID}) group by 1",
     "pixel_contrast": f"select img_id, round(stddev_pop(c::double), 6) as contrast from ({GRID}) group by 1",
     "pixel_colorfulness": f"select img_id, round(sqrt(var_pop(rg) + var_pop(yb)) + 0.3::double * sqrt(avg(rg) * avg(rg) + avg(yb) * avg(yb)), 6) as colorfulness from (select img_id, abs(r - g)::double as rg, abs(0.5::double * (r + g) - b) as yb from ({GRID})) group by 1",
-    "pixel_noise": _NOISE.replace("select img_id, round(avg(", "select img_id, round(avg(m), 6) as noise from (select img_id, (", 1).replace("[5])), 6) as noise", "[5])) as m", 1) + ") group by 1",
+    "pixel_noise": _NOISE,
     "letterbox": f"""select p_partkey as img_id, coalesce(lb, false) as letterboxed from part left join (select img_id, bool_or(head / 1.0 > 0.5 and tail / 1.0 > 0.5) as lb from (
         select img_id, axis, sum(case when spot < 1 and level < 18 then 1 else 0 end) as head, sum(case when spot >= 11 and level < 18 then 1 else 0 end) as tail from ({_LINES}) group by all) group by 1) q on q.img_id = p_partkey""",
     "sunglasses_patches": f"select img_id, coalesce(d > 5 and sk > 50 and (er + el) * 0.5 < 70 and (er + el) * 0.5 / nullif(sk, 0) < 0.55, false) as has_sunglasses from ({_PATCHES})",
@@ -432,6 +452,13 @@ SQL["face_geometry_filter"] = f"""select path, case when q >= 0.040 then 'close-
       0.40::double - (p_partkey * 3 + 1) % 10 * 0.005::double as rx, 0.43::double + (p_partkey * 7 + 2) % 10 * 0.005::double as lx, 0.40::double + (p_partkey * 11 + 3) % 20 * 0.005::double as nx,
       0.26::double + p_partkey * 13 % 20 * 0.01::double as ny, 0.31::double + (p_partkey * 17 + 5) % 20 * 0.01::double as my, (0.30::double + 0.31::double) * 0.5::double as eye from part where p_partkey % 9 > 1)))
   where least(w, hh) >= 1024 and score >= 0.65 and y <= 0.48 and sqrt((lx - rx) ** 2 + (0.31::double - 0.30::double) ** 2) >= 0.040 and my > eye + 0.025::double and ny >= eye - 0.03::double and ny <= my + 0.03::double and bw > 0 and bh > 0"""
-for _name, _stage in (("outlier_replacement", "stage_a"), ("single_subject_swap", "stage_b"), ("face_integrity_swap", "stage_c")):
-    SQL[_name] = REFINE + _picked(_stage)
+for _name, _stage in (("outlier_replacement", "stage_a"), ("single_subject_swap", "stage_b"), ("face_integrity_swap", "stage_c"), ("lighting_rebalance", "result_d"), ("aesthetic_lift", "result_e")):
+    SQL[_name] = REFINE.replace("DROP_", "true" if _stage == "stage_c" else "false") + _picked(_stage)
+# The whole run: an era first, pictures without a usable vector only leave after the second pass, production distance.
+_ERA = f"(year between 2015 and 2025 or not exists (select 1 from ({REC}) where year between 2015 and 2025))"
+SQL["curation"] = (
+    REFINE.replace("DROP_", "false").replace(stratified(USABLE).replace("with scored", "with recursive scored", 1), stratified(_ERA).replace("with scored", "with recursive scored", 1))
+    .replace("place - 1 as i", "row_number() over (order by place) - 1 as i").replace(" from pool),", f" from pool where {USABLE}),", 1).replace(f"d.dist < {CLOSE}", "d.dist < 0.05")
+    + _picked("result_e").replace("select path, seat", "select seat, path, composition, year, head_pose, total_score")
+)
 SQL["composition_class_counts"] = f"select composition, count(*) as n from ({SQL['composition_class']}) group by 1"

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from framewright.operators import filters, ranking, refinement, selection
+from framewright.operators import filters, quantiles, ranking, refinement, selection
 
 POOL = "path string, place int, composition string, year int, head_pose string, feature_vector array<double>"
 
@@ -247,3 +247,17 @@ def test_first_pass(spark):
 
 def test_top_n_floor():
     assert ranking.top_n_floor(60, 30) == 60 and ranking.top_n_floor(60, 50) == 100
+
+
+@pytest.mark.parametrize(("few", "n"), [(50_000, 400), (20, 3000), (5, 1)])
+def test_exact_quantiles(spark, monkeypatch, few, n):
+    """Also when the bracket must be narrowed, with ties, a constant series and nulls."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    rng = np.random.default_rng(few)
+    values = {"a": rng.normal(size=n) ** 3, "b": rng.integers(0, 4, n).astype(float), "c": np.full(n, 2.5)}
+    rows = [(k, float(x)) for k, v in values.items() for x in v] + [("a", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "series string, value double")
+    for share in (0.5, 0.95):
+        got = quantiles.exact_quantiles(df, share)
+        assert got == pytest.approx({k: np.quantile(v, share) for k, v in values.items()})
+    assert quantiles.exact_quantiles(df.limit(0), 0.5) == {}
