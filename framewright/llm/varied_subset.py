@@ -2,12 +2,14 @@
 
 Look-alikes are first linked into groups, so that a group of any size enters
 the selection as one candidate. Candidates are spread over partitions, each
-partition keeps a core-set of far-apart candidates, and a local search over the
-united core-sets swaps members while the total pairwise distance increases.
+partition keeps a core-set, and a local search over the united core-sets swaps members
+while the total pairwise distance increases. The core-sets come from the same local search.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -17,11 +19,14 @@ from pyspark.sql import functions as F
 from framewright.llm import vector_index as vi
 from framewright.llm.common import skew_join
 from framewright.llm.components import connected_components
-from framewright.llm.quota_sample import tidy_label
+from framewright.llm.quota_sample import largest_remainder, tidy_label
 from framewright.storage import materialize
 
-#: Candidates of one partition, and the most that the last local search takes in.
+#: Candidates of one local search, about, and members it chooses at most; a larger subset is chosen in several parts.
 CORE_ROWS = 20_000
+MAX_SEATS = 5_000
+#: Distances that are held at once.
+CELLS = 4_000_000
 #: What an unlike composition or head pose adds to the cosine distance of two candidates.
 LABEL_WEIGHT = 0.25
 
@@ -99,12 +104,8 @@ def _distance(at: int, vectors: np.ndarray, comp: np.ndarray, pose: np.ndarray)
     return 1 - vectors @ vectors[at] + LABEL_WEIGHT * (comp != comp[at]) + LABEL_WEIGHT * (pose != pose[at])
 
 
-def core_set(rows: pd.DataFrame, size: int, dims: int) -> pd.DataFrame:
-    """Farthest-first candidates of one partition, from the smallest id on; ties go to the smaller id."""
-    rows = rows.sort_values("id", kind="stable").reset_index(drop=True)
-    if len(rows) <= size:
-        return rows
-    f = _features(rows, dims)
+def _far_apart(size: int, f: tuple) -> list[int]:
+    """Farthest-first places from the first on; ties go to the earlier."""
     chosen, near = [0], _distance(0, *f)
     near[0] = -1
     while len(chosen) < size:
@@ -112,39 +113,55 @@ def core_set(rows: pd.DataFrame, size: int, dims: int) -> pd.DataFrame:
         chosen.append(at)
         near = np.minimum(near, _distance(at, *f))
         near[at] = -1
-    return rows.iloc[sorted(chosen)]
+    return chosen
 
 
 def local_search(rows: pd.DataFrame, size: int, dims: int, least_gain: float = 1e-9) -> pd.DataFrame:
-    """Swaps a selected and an unselected candidate while the sum of pairwise distances grows.
+    """``size`` rows; swaps a selected and an unselected one while the sum of pairwise distances grows.
 
-    The end is a local optimum: no swap raises the sum by the factor
-    ``1 + least_gain``, which only keeps out rounding. Distances are in double
-    precision; as the sum grows with every swap, no selection comes twice.
+    Starts farthest-first. The member that adds least gives way as long as that
+    raises the sum; then all pairs of a member and a candidate are tried, in blocks. The end is a
+    local optimum: no swap raises the sum by the factor ``1 + least_gain``, which only keeps out
+    rounding. Distances are in double precision; as the sum grows with every swap, no
+    selection comes twice. Rows are taken in the order of their ids.
     """
     rows = rows.sort_values("id", kind="stable").reset_index(drop=True)
-    if len(rows) <= size:
-        return rows
+    if len(rows) <= size or size < 1:
+        return rows[: max(0, size)] if size < 1 else rows
     vectors, *labels = _features(rows, dims)
     f = (vectors.astype("f8"), *labels)
-    start = core_set(rows, size, dims).index.to_numpy()
     inside = np.zeros(len(rows), bool)
-    inside[start] = True
-    to_chosen = {int(i): _distance(int(i), *f) for i in start}
-    total = np.sum(list(to_chosen.values()), axis=0)  # of each candidate, to all selected
+    inside[_far_apart(size, f)] = True
+    total = np.zeros(len(rows))  # of each candidate, to all selected
+    for i in np.flatnonzero(inside):
+        total += _distance(int(i), *f)
     worth = total[inside].sum() / 2
-    while True:
-        chosen = np.flatnonzero(inside)
-        matrix = np.stack([to_chosen[int(i)] for i in chosen])
-        gain = total[None, :] - matrix - total[chosen][:, None]
-        gain[:, inside] = -np.inf
-        out, new = np.unravel_index(int(gain.argmax()), gain.shape)
-        if gain[out, new] <= least_gain * max(worth, 1e-9):
-            break
-        old = int(chosen[out])
-        inside[old], inside[new] = False, True
-        total = total - to_chosen.pop(old) + to_chosen.setdefault(int(new), _distance(int(new), *f))
-        worth += gain[out, new]
+
+    def swap(out: int) -> bool:
+        """Swaps ``out`` for the best candidate, if that raises the sum."""
+        nonlocal total, worth
+        apart = _distance(out, *f)
+        gain = np.where(inside, -np.inf, total - apart - total[out])
+        new = int(gain.argmax())
+        if gain[new] <= least_gain * max(worth, 1e-9):
+            return False
+        inside[out], inside[new] = False, True
+        total = total - apart + _distance(new, *f)
+        worth += gain[new]
+        return True
+
+    moved = True
+    while moved:
+        while swap(int(np.where(inside, total, np.inf).argmin())):
+            pass
+        moved, members = False, np.flatnonzero(inside)
+        step = max(1, CELLS // len(rows))
+        for i in range(0, len(members), step):
+            block = members[i : i + step]
+            apart = 1 - f[0][block] @ f[0].T + LABEL_WEIGHT * (f[1][block, None] != f[1]) + LABEL_WEIGHT * (f[2][block, None] != f[2])
+            best = np.where(inside, -np.inf, total - apart).max(axis=1) - total[block]
+            for out in block[np.argsort(-best)][np.sort(-best) < -least_gain * max(worth, 1e-9)].tolist():
+                moved |= swap(out)
     return rows[inside]
 
 
@@ -156,7 +173,8 @@ def varied_subset(table: DataFrame, item_id: str, vector: str, composition: str,
     if an item has several. Items without a usable vector cannot be chosen. Fewer groups than
     ``size`` give one item each; an empty table gives none. Partitions are
     reduced again until one holds all core-sets, so no task takes more than about
-    ``CORE_ROWS`` candidates. Returns ``id``, ``composition``,
+    ``CORE_ROWS`` candidates, of which it keeps at most ``MAX_SEATS``: a larger subset is chosen in
+    parts by a hash of the id, each with its share of the seats. Returns ``id``, ``composition``,
     ``head_pose`` and ``group_items`` (how many items it stands for).
     """
     people, nodes = lookalike_groups(table, item_id, vector, dims, distance)
@@ -165,12 +183,17 @@ def varied_subset(table: DataFrame, item_id: str, vector: str, composition: str,
     labels = table.select(F.col(item_id).cast("long").alias("id"), tidy_label(F.col(composition)).alias("c"), tidy_label(F.col(pose)).alias("p"))
     labels = labels.groupBy("id").agg(F.coalesce(F.min("c"), F.lit("")).alias("composition"), F.coalesce(F.min("p"), F.lit("")).alias("head_pose"))
     pool = materialize(groups.join(first, "label").join(labels, "id").select("id", "q", "composition", "head_pose", "group_items"), "candidates")
-    kept = 2 * size
-    while (n := pool.count()) > max(CORE_ROWS, 2 * kept):
-        cells = -(-n // CORE_ROWS)
-        keyed = pool.withColumn("cell", F.pmod(F.xxhash64("id", F.lit(n)), F.lit(cells)))
-        pool = materialize(keyed.groupBy("cell").applyInPandas(lambda rows: core_set(rows, kept, dims).drop(columns="cell"), pool.schema), "core-sets")
-        if pool.count() >= n:
-            break
-    best = pool.withColumn("cell", F.lit(0)).groupBy("cell").applyInPandas(lambda rows: local_search(rows, size, dims)[["id", "composition", "head_pose", "group_items"]], "id long, composition string, head_pose string, group_items long")
+    n = pool.count()
+    parts = max(1, -(-size // MAX_SEATS))
+    pool = pool.withColumn("part", F.pmod(F.xxhash64("id", F.lit(23)), F.lit(parts)).cast("int"))
+    schema, out = pool.schema, "id long, composition string, head_pose string, group_items long"
+    have = {r["part"]: r["n"] for r in pool.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    order = sorted(have)
+    seats = dict(zip(order, largest_remainder(min(size, n), [Fraction(have[k]) for k in order])))
+    while have and max(have.values()) > CORE_ROWS:
+        cells = F.broadcast(table.sparkSession.createDataFrame([(k, -(-have[k] // CORE_ROWS)) for k in order], "part int, cells long"))
+        keyed = pool.join(cells, "part").withColumn("cell", F.pmod(F.xxhash64("id", F.lit(sum(have.values()))), F.col("cells")))
+        pool = materialize(keyed.groupBy("part", "cell").applyInPandas(lambda rows: local_search(rows.drop(columns=["cell", "cells"]), seats[int(rows["part"].iloc[0])], dims)[schema.names], schema), "core-sets")
+        have = {r["part"]: r["n"] for r in pool.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    best = pool.groupBy("part").applyInPandas(lambda rows: local_search(rows, seats[int(rows["part"].iloc[0])], dims)[["id", "composition", "head_pose", "group_items"]], out)
     return best.withColumnRenamed("id", item_id)

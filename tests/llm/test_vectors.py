@@ -141,8 +141,10 @@ def test_varied_subset(spark, cloud):
     assert {r["composition"] for r in chosen} == {"close-up", "medium", ""}
 
 
-def test_subset_in_several_core_sets(spark, cloud, monkeypatch):
+@pytest.mark.parametrize("most", [5000, 7])
+def test_subset_in_several_core_sets(spark, cloud, monkeypatch, most):
     monkeypatch.setattr(varied_subset, "CORE_ROWS", 100)
+    monkeypatch.setattr(varied_subset, "MAX_SEATS", most)
     chosen = varied_subset.varied_subset(table(spark, cloud), "image_id", "feature_vector", "composition", "head_pose", 20, DIMS).collect()
     assert len(chosen) == 20
 
@@ -153,8 +155,8 @@ def test_local_search_only_improves():
     rows = pd.DataFrame({"id": range(200), "q": [x.as_py() for x in vi.pack(m / np.linalg.norm(m, axis=1, keepdims=True))], "composition": ["a", "b"] * 100, "head_pose": [""] * 200, "group_items": 1})
     f = varied_subset._features(rows, DIMS)
     worth = lambda ids: sum(varied_subset._distance(i, *f)[list(ids)].sum() for i in ids) / 2
-    start, best = varied_subset.core_set(rows, 12, DIMS), varied_subset.local_search(rows, 12, DIMS)
-    assert len(best) == 12 and worth(best["id"]) >= worth(start["id"])
+    start, best = varied_subset._far_apart(12, f), varied_subset.local_search(rows, 12, DIMS)
+    assert len(best) == 12 and worth(best["id"]) >= worth(start)
 
 
 def test_local_search_ends_where_no_swap_gains():
