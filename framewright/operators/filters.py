@@ -37,6 +37,7 @@ def rejection(candidates: DataFrame, least: int = 1024) -> DataFrame:
     """``path`` and ``reason``: the first rule of the first pass that refuses a picture, null if none does."""
     face = F.try_element_at("faces", F.lit(1))
     points = face["keypoints"]
+    box = geometry.native_box(face, F.col("width"), F.col("height"))
     small = ~large_enough(F.col("width"), F.col("height"), least)
     reason = (
         F.when(F.col("width").isNull() | F.col("height").isNull(), "unreadable")
@@ -47,6 +48,7 @@ def rejection(candidates: DataFrame, least: int = 1024) -> DataFrame:
         .when(face["y"] > 0.48, "face too low")
         .when(F.coalesce(F.size(points), F.lit(0)) < 4, "missing keypoints")
         .when(~geometry.face_accepted(F.col("faces")), "implausible face")
+        .when(~F.coalesce((box["w"] > 0) & (box["h"] > 0), F.lit(False)), "empty face box")
     )
     return candidates.select("path", reason.alias("reason"))
 

@@ -462,3 +462,7 @@ SQL["curation"] = (
     + _picked("result_e").replace("select path, seat", "select seat, path, composition, year, head_pose, total_score")
 )
 SQL["composition_class_counts"] = f"select composition, count(*) as n from ({SQL['composition_class']}) group by 1"
+SQL["picture_metrics"] = (
+    "select img_id, sharpness, face_sharpness, exposure_score, contrast, colorfulness, noise, letterboxed from "
+    + " join ".join(f"({SQL[k]}) {k} using (img_id)" if i else f"({SQL[k]}) {k}" for i, k in enumerate(("pixel_laplacian", "pixel_face_sharpness", "pixel_exposure", "pixel_contrast", "pixel_colorfulness", "pixel_noise", "letterbox")))
+)

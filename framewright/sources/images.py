@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import struct
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -146,8 +146,17 @@ def facts(files: DataFrame) -> DataFrame:
 
 
 def intact(content: Column) -> Column:
-    """Whether the bytes begin like a picture."""
-    return F.startswith(content, F.lit(MAGIC["jpeg"])) | F.startswith(content, F.lit(MAGIC["png"])) | F.startswith(content, F.lit(MAGIC["riff"]))
+    """Whether the bytes begin and end like a picture: a file that was cut off lacks its end mark or, as RIFF, its length."""
+    tail = F.substring(content, -16, 16)
+    jpeg = F.startswith(content, F.lit(MAGIC["jpeg"])) & F.contains(F.hex(tail), F.lit("FFD9"))
+    png = F.startswith(content, F.lit(MAGIC["png"])) & F.contains(F.hex(tail), F.lit(b"IEND".hex().upper()))
+    return jpeg | png | (F.startswith(content, F.lit(MAGIC["riff"])) & (F.length(content) >= _riff_length(content)))
+
+
+def _riff_length(content: Column) -> Column:
+    """Length of the file by its RIFF header, which is little-endian."""
+    byte = lambda i: F.conv(F.hex(F.substring(content, i, 1)), 16, 10).cast("long")
+    return 8 + byte(5) + byte(6) * 256 + byte(7) * 65_536 + byte(8) * 16_777_216
 
 
 def dimension_report(files: DataFrame, limit: int = 20) -> DataFrame:
@@ -187,13 +196,15 @@ def write_files(rows: DataFrame, folder: str) -> None:
     rows.select("out_name", "content").foreachPartition(write)
 
 
-def package(pairs: list[tuple[str, bytes, str]], target: str | io.BytesIO) -> int:
+def package(pairs: Iterable[tuple[str, bytes, str]], target: str | io.BytesIO) -> int:
     """Zip of (file name, picture, caption) at the archive's root; returns the number of pairs.
 
     A package is a finished, curated set of at most a few thousand pairs; larger sets stay tables.
     """
+    count = 0
     with zipfile.ZipFile(target, "w", compression=zipfile.ZIP_DEFLATED) as out:
         for name, picture, caption in pairs:
             out.writestr(name, picture)
             out.writestr(name.rsplit(".", 1)[0] + ".txt", caption)
-    return len(pairs)
+            count += 1
+    return count
