@@ -47,6 +47,9 @@ SLACK = 1.0
 #: Numbers of the parts of one part, at most.
 WIDTH = 1 << 20
 
+#: What a vector does in a block.
+STORED, ASKS = 1, 2
+
 Work = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.Table]
 
 
@@ -410,24 +413,31 @@ def _sent(rows: DataFrame, tree: Tree, dims: int, probes: int | None, margin: fl
             line = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False) > 0)
             kept = np.flatnonzero(batch.column(3).to_numpy(zero_copy_only=False))
             near, leaf = model.probable(vectors[line], probes, margin)
-            at = np.concatenate([kept, line[near]])
-            part = np.concatenate([model.home(vectors[kept]), leaf])
-            stored = np.arange(len(at)) < len(kept)
+            home = np.full(len(vectors), -1, "i8")
+            home[kept] = model.home(vectors[kept])
+            at, part = np.concatenate([kept, line[near]]), np.concatenate([home[kept], leaf])
+            role = np.where(np.arange(len(at)) < len(kept), STORED, ASKS)
             times = np.ones(len(at), "i8")
             if len(big):
                 place = np.minimum(np.searchsorted(big, part), len(big) - 1)
                 times = np.where(big[place] == part, sides[place], 1)
+            # a vector that asks in the one block where it is stored goes there once
+            twice = (role == ASKS) & (part == home[at]) & (times == 1)
+            both = np.zeros(len(vectors), bool)
+            both[at[twice]] = True
+            role[: len(kept)] = np.where(both[kept], STORED + ASKS, STORED)
+            at, part, role, times = at[~twice], part[~twice], role[~twice], times[~twice]
             spot = np.repeat(np.arange(len(at)), times)
             walk = np.arange(len(spot)) - np.repeat(np.cumsum(times) - times, times)
             own = (node[at] * 0x9E3779B1 >> 7) % times
-            row, kind = at[spot], stored[spot]
-            block = np.where(kind, own[spot] * times[spot] + walk, walk * times[spot] + own[spot])
+            row, kind = at[spot], role[spot]
+            block = np.where(kind & STORED, own[spot] * times[spot] + walk, walk * times[spot] + own[spot])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part[spot]), pa.array(block.astype("i4")), pa.array(kind), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
-                ["part", "block", "stored", "node", "q"],
+                [pa.array(part[spot]), pa.array(block.astype("i4")), pa.array(kind.astype("i1")), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
+                ["part", "block", "role", "node", "q"],
             )
 
-    sent = rows.select("node", "q", "asks", "kept").mapInArrow(run, "part long, block int, stored boolean, node long, q binary")
+    sent = rows.select("node", "q", "asks", "kept").mapInArrow(run, "part long, block int, role byte, node long, q binary")
     # about 200,000 rows a task at most, so that a task stays small whatever the session's setting
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total * (min(probes, 12) + 1) // 200_000))
     return sent.repartition(int(tasks), "part", "block")
@@ -437,8 +447,9 @@ def _in_blocks(sent: DataFrame, dims: int, work: Work, schema: str) -> DataFrame
     """Applies ``work`` to every block."""
 
     def run(table: pa.Table) -> pa.Table:
-        stored = table.column("stored").to_numpy(zero_copy_only=False).astype(bool)
+        role = table.column("role").to_numpy(zero_copy_only=False)
+        stored, asks = role & STORED > 0, role & ASKS > 0
         node, rows = table.column("node").to_numpy(), unpack(table.column("q"), dims)
-        return work(node[~stored], rows[~stored], node[stored], rows[stored])
+        return work(node[asks], rows[asks], node[stored], rows[stored])
 
     return sent.groupBy("part", "block").applyInArrow(run, schema)
