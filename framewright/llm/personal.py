@@ -221,7 +221,7 @@ _STREET_NAMES = ["Walnut", "Chapel", "Queen's", "Abbey", "Green Lion", "Market",
 # {G} {g} listed given name as a plain word, {U} invented capitalised word, {w} plain or invented word, {C} letter, {999} digits.
 _NAME_SLOTS = [
     "Photographer: {n}", "Stylist {n}, assistant {n}", "Hair and make-up: {n}", "Retouching was done by {n}", "Credit goes to {n} for the light.", "Best regards,\n{n}", "Signed: {n}", "Signed, {n}", "Consent was given by {n} on Tuesday.", "Waiver from {n} received.",
-    "{n} signed the waiver.", "{n} called about the contract.", "{n} wrote that the colours are wrong.", "{n} would like two copies.", "{n} said yes to all of it.", "I spoke with {n} about the dates.", "We thank {n} for the help.", "We thank {n}", "We owe {n} a dinner.", "The portrait of {n} came out dark.", "a portrait of {n}, seated",
+    "{n} signed the waiver.", "{n} called about the contract.", "{n} wrote that the colours are wrong.", "{n} would like two copies.", "{n} said yes to all of it.", "I spoke with {n} about the dates.", "We thank {n} for the help.", "We thank {n}", "We owe {n} a dinner.", "The portrait of {n} came out dark.", "a portrait of {n}, seated", "Ask {n} first.", "Call {n} at noon.", "Meet {n} here.", "Paid {n} in cash.", "Contact was {n} at first.", "Thank {n} for it.", "Saw {n} there.", "Write to {n} or call {n}.", "Signed by {n} only.", "Contact {n} ({p})", "Signed {n}, {e}",
     "as {n} told us, the roll is lost", "tell {n} that the files are ready", "send everything to {n}, {a}", "{n}, {a}", "{n}, {a}, {U} {U}", "a letter for {n}, {a}, {U}",  "{n}, {e}, has them", "the file of {n}, {w} and {w}", "Guardian: {n}, phone {p}", "Name: {n}\nPhone: {p}\nE-mail: {e}", "Model {n} ({p})", "{n} <{e}>", "From: {n} <{e}>", "invoice for {n}, {a}", "{n} lives at {a}.", "{n} can be reached on {p} or {e}.",
     "{n} ({e}) wants the raw files", "The name {n} is on the back of the print.", "Booking for {n}; document {i}; {p}.", "Mr. {f} came by at ten.", "Mrs {f} rang the bell.", "Ms {f} wants a refund.", "Ms. {f} agreed to it.", "Dr. {f} said yes.", "Dr. {n} agreed.", "Prof. {f} lent us the hall.", "Miss {f} was late.", "according to Dr {f}, fine", "the name tag says {n}", "a mug with the words '{n}' on it", "photo by {n}", "edited by {n} and {n}",
     "{n} and {n} share the frame.", "{n} {v} beside a window.", "{n} {v} with a cup in one hand.", "{n} {v} on a bench, arms folded.", "{n} {v}, a lamp behind.", "{n} is seen from below, {w} and {w}.", "A man, {n}, {v} at the door.", "In the doorway {n} {v} and laughs.", "Here {n} wears a wool coat.", "On the left {n} holds a lamp.", "The sitter is {n}.", "The sitter, {n}, is over eighteen.", "Under the {w} {n} {v} alone.",
@@ -405,7 +405,7 @@ class Sentences:
         return text, gold
 
 
-def train_field(names: list[tuple[str, str]], documents: int = 8000, seed: int = 13) -> np.ndarray:
+def train_field(names: list[tuple[str, str]], documents: int = 12000, seed: int = 13) -> np.ndarray:
     """Weights from generated documents. Where no form ends as the entity does, the one that ends nearest stands for it."""
     maker = Sentences(names, seed)
     lexicon = maker.lexicon()
