@@ -17,6 +17,7 @@ from framewright.storage import materialize, read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 POOL, SEATS, DIMS = 100, 30, 64
+PICTURES_A_TASK = 100_000
 CLOSE = 0.6  # near-duplicate distance of the queries over pools whose vectors are far apart
 
 
@@ -73,9 +74,15 @@ def key_number(a: int, b: int = 0, m: int = 1000) -> Column:
     return F.pmod(F.col("p_partkey") * a + b, F.lit(m))
 
 
-def pixel_grid(spark: SparkSession, sf_dir: str, size: int = 12) -> DataFrame:
-    """Arithmetic pictures, one per part."""
-    rows = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("img_id"))
+def picture_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the arithmetic pictures, dealt out by their hash: pixels and facts made of them meet without being moved."""
+    keys = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("img_id"))
+    return keys.repartition(max(3 * spark.sparkContext.defaultParallelism, -(-keys.count() // PICTURES_A_TASK)), "img_id")
+
+
+def pixel_grid(spark: SparkSession, sf_dir: str, size: int = 12, keys: DataFrame | None = None) -> DataFrame:
+    """Arithmetic pictures, one per part (or per row of ``keys``)."""
+    rows = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("img_id")) if keys is None else keys
     rows = rows.select("img_id", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("y")).select("*", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("x"))
     dark = (F.col("img_id") % 5 == 0) & ((F.col("y") < 1) | (F.col("y") >= size - 1))
     value = lambda a, b, c: F.when(dark, 3).otherwise(((F.col("img_id") * a + F.col("y") * b + F.col("x") * c) % 256).cast("int"))
@@ -340,8 +347,9 @@ def pixel_laplacian(spark, sf_dir):
 
 @query
 def pixel_face_sharpness(spark, sf_dir):
-    boxes = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("img_id"), (F.col("p_partkey") % 6 - 2).alias("x0"), (F.col("p_partkey") % 5).alias("y0"), (F.col("p_partkey") % 6 + 4).alias("x1"), (F.col("p_partkey") % 5 + 5).alias("y1"))
-    return rounded(pixels.face_sharpness(pixel_grid(spark, sf_dir), boxes), "face_sharpness")
+    keys = picture_keys(spark, sf_dir)
+    boxes = keys.select("img_id", (F.col("img_id") % 6 - 2).alias("x0"), (F.col("img_id") % 5).alias("y0"), (F.col("img_id") % 6 + 4).alias("x1"), (F.col("img_id") % 5 + 5).alias("y1"))
+    return rounded(pixels.face_sharpness(pixel_grid(spark, sf_dir, keys=keys), boxes), "face_sharpness")
 
 
 @query
