@@ -400,8 +400,9 @@ def letterbox(spark, sf_dir):
 
 @query
 def sunglasses_patches(spark, sf_dir):
-    eyes = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("img_id"), F.lit(2).alias("rx"), F.lit(4).alias("ry"), (8 + F.col("p_partkey") % 3).alias("lx"), F.lit(4).alias("ly"), F.lit(6).alias("nx"), F.lit(7).alias("ny"))
-    return pixels.eye_patches(pixel_grid(spark, sf_dir), eyes)
+    keys = picture_keys(spark, sf_dir)
+    eyes = keys.select("img_id", F.lit(2).alias("rx"), F.lit(4).alias("ry"), (8 + F.col("img_id") % 3).alias("lx"), F.lit(4).alias("ly"), F.lit(6).alias("nx"), F.lit(7).alias("ny"))
+    return pixels.eye_patches(pixel_grid(spark, sf_dir, keys=keys), eyes)
 
 
 # ---- scores and ranks --------------------------------------------------------------------------

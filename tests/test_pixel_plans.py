@@ -46,3 +46,16 @@ def test_pictures_are_split_by_their_number(spark, tmp_path, monkeypatch):
     assert catalogue.picture_keys(spark, str(tmp_path)).rdd.getNumPartitions() == 3 * spark.sparkContext.defaultParallelism
     monkeypatch.setattr(catalogue, "PICTURES_A_TASK", 2)
     assert catalogue.picture_keys(spark, str(tmp_path)).rdd.getNumPartitions() == 31
+
+
+def test_sunglasses_move_no_pixels(spark, odd_parts):
+    agrees(spark, odd_parts, "sunglasses_patches")
+
+
+def test_eye_patches_broadcast_no_pixels(spark):
+    shade = lambda y: 20 if y < 7 else 200
+    long = spark.createDataFrame([(i, y, x, *[shade(y) if i else 200] * 3) for i in range(2) for y in range(12) for x in range(12)], "img_id long, y int, x int, b int, g int, r int")
+    eyes = spark.createDataFrame([(i, 2, 4, 10, 4, 6, 7) for i in range(3)], "img_id long, rx int, ry int, lx int, ly int, nx int, ny int")
+    df = pixels.eye_patches(long, eyes)
+    assert {r["img_id"]: r["has_sunglasses"] for r in df.collect()} == {0: False, 1: True, 2: False}
+    assert "Broadcast" not in joined(df)
